@@ -6,13 +6,31 @@ users of these tables already have.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+_COLUMN = re.compile(r"(?:`([^`]+)`|(\w+)) (\w+)(?:\((\d+),(\d+)\))?(?:, |$)")
+
+
+def schema_of(columns: str) -> T.StructType:
+    """`name type, ...` as a schema; needs no running session."""
+    fields = []
+    for quoted, plain, kind, precision, scale in _COLUMN.findall(columns):
+        dtype = T.DecimalType(int(precision), int(scale)) if kind == "decimal" else _TYPES[kind]
+        fields.append(T.StructField(quoted or plain, dtype))
+    return T.StructType(fields)
 
 
 @dataclass(frozen=True)
@@ -29,13 +47,13 @@ class TableSpec:
 
 # --- raw inputs (fixed values) ---------------------------------------------
 
-CATALOGUE_RAW = _schema(
+CATALOGUE_RAW = schema_of(
     "num_songs int, artist_id string, artist_latitude double, artist_longitude double, "
     "artist_location string, artist_name string, song_id string, title string, "
     "duration double, year int"
 )
 
-LOG_RAW = _schema(
+LOG_RAW = schema_of(
     "artist string, auth string, firstName string, gender string, itemInSession int, "
     "lastName string, length double, level string, location string, method string, "
     "page string, registration double, sessionId int, song string, status int, "
@@ -43,14 +61,14 @@ LOG_RAW = _schema(
 )
 
 # The CSV form of the log: no userAgent, and ts is rounded, so never a time.
-LOG_CSV_RAW = _schema(
+LOG_CSV_RAW = schema_of(
     "artist string, auth string, firstName string, gender string, itemInSession int, "
     "lastName string, length double, level string, location string, method string, "
     "page string, registration double, sessionId int, song string, status int, "
     "ts double, userId int"
 )
 
-ARRIVALS_RAW = _schema(
+ARRIVALS_RAW = schema_of(
     "cicid double, i94yr double, i94mon double, i94port string, i94addr string, "
     "arrdate double, depdate double, i94mode double, i94visa double, i94cit double, "
     "i94res double, biryear double, gender string, insnum string, airline string, "
@@ -61,7 +79,7 @@ ARRIVALS_RAW = _schema(
 
 SONGPLAYS = TableSpec(
     "songplays",
-    _schema(
+    schema_of(
         "songplay_id string, start_time timestamp_ntz, user_id int, level string, "
         "song_id string, artist_id string, session_id int, location string, "
         "user_agent string, year int, month int"
@@ -73,14 +91,14 @@ SONGPLAYS = TableSpec(
 )
 USERS = TableSpec(
     "users",
-    _schema("user_id int, first_name string, last_name string, gender string, level string"),
+    schema_of("user_id int, first_name string, last_name string, gender string, level string"),
     key=("user_id",),
     not_null=("user_id",),
 )
 # Partitioned by year only: a directory per artist gives millions of tiny files.
 SONGS = TableSpec(
     "songs",
-    _schema("song_id string, title string, artist_id string, duration decimal(18,5), year int"),
+    schema_of("song_id string, title string, artist_id string, duration decimal(18,5), year int"),
     key=("song_id",),
     not_null=("song_id",),
     partition_by=("year",),
@@ -88,13 +106,13 @@ SONGS = TableSpec(
 )
 ARTISTS = TableSpec(
     "artists",
-    _schema("artist_id string, name string, location string, latitude double, longitude double"),
+    schema_of("artist_id string, name string, location string, latitude double, longitude double"),
     key=("artist_id",),
     not_null=("artist_id",),
 )
 TIME = TableSpec(
     "time",
-    _schema(
+    schema_of(
         "start_time timestamp_ntz, hour int, day int, week int, weekday string, year int, month int"
     ),
     key=("start_time",),
@@ -107,7 +125,7 @@ TIME = TableSpec(
 
 SESSION_ITEMS = TableSpec(
     "session_items",
-    _schema(
+    schema_of(
         "session_id int, item_in_session int, artist_name string, song_title string, "
         "song_length double"
     ),
@@ -116,7 +134,7 @@ SESSION_ITEMS = TableSpec(
 )
 USER_SESSIONS = TableSpec(
     "user_sessions",
-    _schema(
+    schema_of(
         "user_id int, session_id int, item_in_session int, artist_name string, "
         "song_title string, user_firstname string, user_lastname string"
     ),
@@ -125,7 +143,7 @@ USER_SESSIONS = TableSpec(
 )
 SONG_USERS = TableSpec(
     "song_users",
-    _schema("song_title string, user_id int, user_firstname string, user_lastname string"),
+    schema_of("song_title string, user_id int, user_firstname string, user_lastname string"),
     key=("song_title", "user_id"),
     cluster_by=("song_title", "user_id"),
 )
@@ -134,7 +152,7 @@ SONG_USERS = TableSpec(
 
 FACT_IMMI = TableSpec(
     "fact_immi",
-    _schema(
+    schema_of(
         "cic_id int, year int, month int, port_code string, arrive_date date, "
         "departure_date date, travel_code int, visa_code int, immigration_id string, "
         "country string, state_code string"
@@ -145,7 +163,7 @@ FACT_IMMI = TableSpec(
 )
 DIM_PERSONAL = TableSpec(
     "dim_immi_personal",
-    _schema(
+    schema_of(
         "cic_id int, citizen_country int, residence_country int, birth_year int, "
         "gender string, ins_num string, immi_person_id string"
     ),
@@ -153,7 +171,7 @@ DIM_PERSONAL = TableSpec(
 )
 DIM_AIRLINE = TableSpec(
     "dim_immi_airline",
-    _schema(
+    schema_of(
         "cic_id int, airline string, admin_num bigint, flight_number string, "
         "visa_type string, port_code string, immi_airline_id string"
     ),
@@ -161,7 +179,7 @@ DIM_AIRLINE = TableSpec(
 )
 DIM_POPULATION = TableSpec(
     "dim_demographic_population",
-    _schema(
+    schema_of(
         "city string, male_pop string, female_pop string, num_vetarans string, "
         "foreign_born string, race string, pop_id string, state_code string"
     ),
@@ -170,7 +188,7 @@ DIM_POPULATION = TableSpec(
 )
 DIM_STATISTICS = TableSpec(
     "dim_demographic_statistics",
-    _schema(
+    schema_of(
         "city string, median_age string, avg_household_size string, stat_id string, "
         "state_code string"
     ),
@@ -179,7 +197,7 @@ DIM_STATISTICS = TableSpec(
 )
 DIM_AIRPORT = TableSpec(
     "dim_airport",
-    _schema(
+    schema_of(
         "iata_code string, name string, type string, country string, municipality string, "
         "longitude float, latitude float, state_code string"
     ),
@@ -188,17 +206,17 @@ DIM_AIRPORT = TableSpec(
 )
 DIM_TEMPERATURE = TableSpec(
     "dim_temperature",
-    _schema(
+    schema_of(
         "dt date, avg_temp float, avg_temp_uncertnty float, city string, country string, "
         "year int, month int, record_id bigint"
     ),
     key=("record_id",),
 )
-COUNTRY_CODE = TableSpec("country_code", _schema("code int, country string"), key=("code",))
-PORT_CODE = TableSpec("port_code", _schema("code string, port string"), key=("code",))
-STATE_CODE = TableSpec("state_code", _schema("code string, state string"), key=("code",))
-VISA_CODE = TableSpec("visa_code", _schema("code int, visa string"), key=("code",))
-TRAVEL_CODE = TableSpec("travel_code", _schema("code int, travel string"), key=("code",))
+COUNTRY_CODE = TableSpec("country_code", schema_of("code int, country string"), key=("code",))
+PORT_CODE = TableSpec("port_code", schema_of("code string, port string"), key=("code",))
+STATE_CODE = TableSpec("state_code", schema_of("code string, state string"), key=("code",))
+VISA_CODE = TableSpec("visa_code", schema_of("code int, visa string"), key=("code",))
+TRAVEL_CODE = TableSpec("travel_code", schema_of("code int, travel string"), key=("code",))
 
 MUSIC_STAR = (USERS, SONGS, ARTISTS, TIME, SONGPLAYS)
 QUERY_TABLES = (SESSION_ITEMS, USER_SESSIONS, SONG_USERS)

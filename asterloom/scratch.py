@@ -15,13 +15,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a temporary folder.
     """
-    named = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    named = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"{SETTING} must name a folder all executors share")
-        named = tempfile.mkdtemp(prefix="asterloom-")
-        spark.conf.set(SETTING, named)
-        spark.sparkContext.setCheckpointDir(named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="asterloom-"))
+        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 

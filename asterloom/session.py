@@ -48,7 +48,7 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate (file sizes for a scan); runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import TableSpec
 from .files import table_path
@@ -42,18 +43,8 @@ def reset_tables(spark: SparkSession, specs: Sequence[TableSpec], root: str, pre
     drop_tables(spark, specs, prefix)
     create_tables(spark, specs, root, prefix)
     for spec in specs:
-        name = prefix + spec.name
-        if not spark.table(name).isEmpty():
-            spark.sql(f"TRUNCATE TABLE {name}") if _managed(spark, name) else _empty(spark, spec, root, name)
-
-
-def _managed(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.getTable(name).tableType == "MANAGED"
-
-
-def _empty(spark: SparkSession, spec: TableSpec, root: str, name: str) -> None:
-    spark.createDataFrame([], spec.schema).write.mode("overwrite").parquet(table_path(spec, root))
-    spark.catalog.refreshTable(name)
+        spark.createDataFrame([], spec.schema).write.mode("overwrite").parquet(table_path(spec, root))
+        spark.catalog.refreshTable(prefix + spec.name)
 
 
 def write_bucketed(
@@ -68,11 +59,10 @@ def write_bucketed(
     """Store rows by hash of their key and sorted inside each bucket.
 
     Later joins and groupings on the key need no shuffle, and a look-up of one
-    key reads one bucket. A hot key makes a hot bucket: give such tables more
-    key columns. Returns the table.
+    key reads one bucket. `rebalance` hashes rows as the buckets do but writes
+    a huge bucket by several tasks. Returns the table.
     """
-    # One task per bucket, so that each bucket is one file.
-    placed = df.repartition(buckets, *key)
+    placed = df.hint("rebalance", buckets, *[F.col(c) for c in key])
     writer = placed.write.mode(mode).format("parquet").option("path", path).bucketBy(buckets, *key)
     writer = writer.sortBy(*(list(sort_by) or list(key)))
     writer.saveAsTable(name)

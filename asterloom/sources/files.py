@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -129,3 +129,10 @@ def code_list(
     """A small code table from literal pairs."""
     rows = list(pairs.items()) if isinstance(pairs, Mapping) else list(pairs)
     return spark.createDataFrame(rows, schema)
+
+
+def process_files(
+    read: Callable[[Sequence[str]], DataFrame], paths: Sequence[str], processor: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Files through a processor given as a function, all files at once."""
+    return read(paths).transform(processor)

@@ -31,10 +31,7 @@ def stream_session(spark: SparkSession, input_bytes: int) -> SparkSession:
     so it is chosen here and not left to the caller's shuffle setting.
     """
     session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.checkpoint.dir"):
-        value = spark.conf.get(key, None)
-        if value is not None:
-            session.conf.set(key, value)
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(spark, input_bytes)))
     # State lives on local disk beside memory and is backed up in the checkpoint.
     session.conf.set(
