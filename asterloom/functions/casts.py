@@ -30,9 +30,10 @@ def to_float(c: ColumnOrName) -> Column:
 def text_to_whole(c: ColumnOrName, dtype: str | T.DataType = "bigint") -> Column:
     """Whole number from text that may be spelled `5748517.0` or `1.5E12`.
 
-    A direct cast of such text gives NULL; the decimal step keeps all digits.
+    A direct cast of such text gives NULL; the decimal step, taken only then,
+    keeps all digits.
     """
-    return _col(c).try_cast("decimal(38,18)").try_cast(dtype)
+    return F.coalesce(_col(c).try_cast(dtype), _col(c).try_cast("decimal(38,18)").try_cast(dtype))
 
 
 def whole_rounded(c: ColumnOrName) -> Column:

@@ -15,20 +15,22 @@ def reduce_upserts(
     key: Sequence[str],
     order_by: Sequence[str],
     update: Sequence[str],
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """A batch as one row per key, as if its rows were upserted in order.
 
-    `update` columns take the last row's values, all others the first row's.
-    One pass over the batch.
+    `update` columns take the last row's values, `keep` columns the first
+    row's (by default all others but the order). One pass over the batch.
     """
-    keep = [c for c in updates.columns if c not in key and c not in update]
+    if keep is None:
+        keep = [c for c in updates.columns if c not in {*key, *order_by, *update}]
     order = F.struct(*order_by)
     aggs = [F.max_by(F.struct(*update), order).alias("_last")]
     if keep:
         aggs.append(F.min_by(F.struct(*keep), order).alias("_first"))
-    reduced = updates.groupBy(*key).agg(*aggs)
-    source = {**{c: "_first" for c in keep}, **{c: "_last" for c in update}}
-    return reduced.select([F.col(c) if c in key else F.col(source[c]).getField(c).alias(c) for c in updates.columns])
+    source = {**dict.fromkeys(keep, "_first"), **dict.fromkeys(update, "_last")}
+    picked = [F.col(c) if c in key else F.col(source[c]).getField(c).alias(c) for c in [*key, *keep, *update]]
+    return updates.groupBy(*key).agg(*aggs).select(picked)
 
 
 def insert_ignore(
@@ -52,9 +54,8 @@ def upsert(
     An update to NULL is an update. Both sides hold one row per key when they
     meet, so the join cannot fan out and no key is hot.
     """
-    wanted = list(target.columns) + [c for c in order_by if c not in target.columns]
-    batch = updates.select(wanted)
-    new = reduce_upserts(batch, key, order_by, [c for c in update]).select(target.columns)
+    keep = [c for c in target.columns if c not in {*key, *update}]
+    new = reduce_upserts(updates, key, order_by, update, keep)
     t = target.select(*key, F.struct(*[c for c in target.columns if c not in key]).alias("_t"))
     u = new.select(*key, F.struct(*[c for c in new.columns if c not in key]).alias("_u"))
     both = t.join(u, list(key), "full_outer")

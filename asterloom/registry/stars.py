@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.casts import conform
 from ..functions.timeparts import to_epoch_millis
+from ..operators.dedup import drop_full_duplicates
 from ..operators.quality import row_counts
 from ..plans import arrivals, music, sessions
-from ..schemas import DIM_STATISTICS, FACT_IMMI, SONGPLAYS, USER_SESSIONS
+from ..schemas import CATALOGUE_RAW, DIM_STATISTICS, FACT_IMMI, LOG_RAW, SONGPLAYS, USER_SESSIONS
 from ..scratch import materialise, scratch_path
 from ..sinks.files import write_table
 from ..sources.files import read_csv, read_table, read_tables
@@ -128,10 +130,8 @@ def warehouse_star(t):
 def staged_star(t):
     """Stage, dimensions, fact, in load order; rows per loaded table."""
     root = scratch_path(t.spark, "staged-star")
-    _catalogue(t).write.json(f"{root}/raw/catalogue")
-    _log(t).write.json(f"{root}/raw/log")
-    log = materialise(music.stage_log(t.spark, f"{root}/raw/log"), "staged-log")
-    catalogue = materialise(music.stage_catalogue(t.spark, f"{root}/raw/catalogue"), "staged-catalogue")
+    log = materialise(drop_full_duplicates(conform(_log(t), LOG_RAW)), "staged-log")
+    catalogue = materialise(conform(_catalogue(t), CATALOGUE_RAW), "staged-catalogue")
     for spec, rows in music.build_star(log, catalogue).items():
         write_table(rows, spec, root)
     return row_counts(read_tables(t.spark, music.MUSIC_STAR, root))

@@ -15,7 +15,8 @@ from .base import query
 
 def _stream(t):
     session = stream_session(t.spark, estimated_bytes(t.events))
-    return stream_files(session, t.path("events"), t.events.schema, "parquet")
+    # As a glob the path may be one file or a folder of them.
+    return stream_files(session, t.path("event[s]"), t.events.schema, "parquet")
 
 
 @query("SELECT CAST(ts AS DATE) AS d, event_type, count(*) AS n FROM events GROUP BY 1, 2")
@@ -28,9 +29,7 @@ def daily_counts_stream(t):
     return count_by(stored.select(F.col("ts").cast("date").alias("d"), "event_type"), ["d", "event_type"])
 
 
-_USERS = TableSpec(
-    "users", schema_of("user_id bigint, first_type string, level string, ts timestamp_ntz, event_id bigint"), key=("user_id",)
-)
+_USERS = TableSpec("users", schema_of("user_id bigint, first_type string, level string"), key=("user_id",))
 
 
 @query("""
@@ -46,4 +45,4 @@ def upsert_users_stream(t):
         "user_id", F.col("event_type").alias("first_type"), F.col("event_type").alias("level"), "ts", "event_id"
     )
     upsert_stream(rows, _USERS, root, scratch_path(t.spark, "stream-upsert-state"), ["ts", "event_id"], ["level"])
-    return read_table(t.spark, _USERS, root).select("user_id", "first_type", "level")
+    return read_table(t.spark, _USERS, root)

@@ -15,8 +15,9 @@ RUNTIME_SETTINGS = {
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-BYTES_PER_SHUFFLE_PARTITION = 64 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
+BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+# Beyond this, blocks per map task cost more than larger partitions do.
+MAX_SHUFFLE_PARTITIONS = 40_000
 
 
 def build_session(app_name: str = "asterloom", master: str | None = None, **settings: str) -> SparkSession:
