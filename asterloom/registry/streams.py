@@ -9,7 +9,9 @@ from ..schemas import TableSpec, schema_of
 from ..scratch import scratch_path
 from ..session import estimated_bytes
 from ..sources.files import read_table
-from ..streaming.ingest import append_stream, drop_repeats, stored_stream, stream_files, stream_session, upsert_stream
+from ..streaming.ingest import (
+    append_stream, drop_repeats, insert_stream, stored_stream, stream_files, stream_session, upsert_stream,
+)
 from .base import query
 
 
@@ -29,6 +31,21 @@ def daily_counts_stream(t):
     return count_by(stored.select(F.col("ts").cast("date").alias("d"), "event_type"), ["d", "event_type"])
 
 
+_EVENTS = TableSpec(
+    "events", schema_of("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"), key=("event_id",)
+)
+
+
+@query("SELECT event_id, ts, user_id, event_type FROM events")
+def insert_events_stream(t):
+    """New events added by key, twice the same stream: the second adds nothing."""
+    root = scratch_path(t.spark, "stream-insert")
+    rows = _stream(t).select(_EVENTS.schema.fieldNames())
+    for _ in range(2):
+        insert_stream(rows, _EVENTS, root, scratch_path(t.spark, "stream-insert-state"), ["ts"])
+    return read_table(t.spark, _EVENTS, root)
+
+
 _USERS = TableSpec("users", schema_of("user_id bigint, first_type string, level string"), key=("user_id",))
 
 

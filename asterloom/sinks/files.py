@@ -99,10 +99,8 @@ def upsert_table(
 def insert_new(updates: DataFrame, spec: TableSpec, root: str, order_by: Sequence[str]) -> None:
     """Append the rows whose key the stored table lacks; never rewrites it."""
     target = read_table(updates.sparkSession, spec, root)
-    write_parquet(
-        materialise(insert_ignore(target, updates, spec.key, order_by), spec.name),
-        table_path(spec, root), "append", spec.partition_by, spec.cluster_by,
-    )
+    fresh = conform(insert_ignore(target, updates, spec.key, order_by), spec.schema)
+    write_table(materialise(fresh, spec.name), spec, root, "append")
 
 
 def copy_tables(spark: SparkSession, specs: Sequence[TableSpec], source_root: str, target_root: str) -> None:

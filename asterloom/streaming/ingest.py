@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import TableSpec
 from ..session import shuffle_partitions
-from ..sinks.files import table_path, upsert_table, write_table
+from ..sinks.files import insert_new, upsert_table, write_table
 
 _TIME = "_event_time"
 
@@ -61,8 +61,9 @@ def stream_files(
 def drop_repeats(stream: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Drop rows whose key was seen before, within `delay` of event time.
 
-    State is held only as long as the delay lasts. Watermarks need a zoned
-    timestamp, so the event time is cast for them.
+    State is held only as long as the delay lasts. Where rows may come later
+    than any delay, use `insert_stream`. Watermarks need a zoned timestamp, so
+    the event time is cast for them.
     """
     timed = stream.withColumn(_TIME, F.col(event_time).cast("timestamp")).withWatermark(_TIME, delay)
     return timed.dropDuplicatesWithinWatermark(list(key)).drop(_TIME)
@@ -94,6 +95,25 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, partition_by: S
     return run_available(writer, checkpoint)
 
 
+def insert_stream(
+    stream: DataFrame, spec: TableSpec, root: str, checkpoint: str, order_by: Sequence[str]
+) -> StreamingQuery:
+    """Append the rows whose key the stored table lacks, however late they come.
+
+    Needs no watermark and no state beside the table itself; a repeated batch
+    adds nothing.
+    """
+    _create(stream, spec, root)
+    return run_available(
+        stream.writeStream.foreachBatch(lambda batch, _: insert_new(batch, spec, root, order_by)), checkpoint
+    )
+
+
+def _create(stream: DataFrame, spec: TableSpec, root: str) -> None:
+    """Make sure the table is there to be read; adds no rows."""
+    write_table(stream.sparkSession.createDataFrame([], spec.schema), spec, root, "append")
+
+
 def upsert_stream(
     stream: DataFrame,
     spec: TableSpec,
@@ -108,7 +128,7 @@ def upsert_stream(
     A repeated batch gives the same table: `update` columns take the same last
     values again, and the others are already there.
     """
-    write_table(stream.sparkSession.createDataFrame([], spec.schema), spec, root, "append")
+    _create(stream, spec, root)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         upsert_table(prepare(batch), spec, root, order_by, update)
@@ -125,10 +145,10 @@ __all__ = [
     "LateRowsError",
     "append_stream",
     "drop_repeats",
+    "insert_stream",
     "run_available",
     "stored_stream",
     "stream_files",
     "stream_session",
-    "table_path",
     "upsert_stream",
 ]
