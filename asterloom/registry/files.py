@@ -23,7 +23,7 @@ def catalogue_json_glob(t):
     """JSON files in a sharded tree, found by a glob, repeats dropped."""
     root = scratch_path(t.spark, "catalogue")
     schema = schema_of(_PART)
-    shards = t.part.select(*schema.fieldNames(), F.col("p_type").alias("a"), F.col("p_brand").alias("b"))
+    shards = t.part.select(*schema.fieldNames(), F.col("p_type").alias("a"), F.floor(F.col("p_size") / 10).alias("b"))
     shards.hint("rebalance", F.col("a"), F.col("b")).write.partitionBy("a", "b").json(root)
     return process_files(
         lambda paths: read_json(t.spark, paths, schema), [f"{root}/*/*/*json"], drop_full_duplicates

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from ..functions.casts import conform
 from ..functions.timeparts import to_epoch_millis
 from ..operators.dedup import drop_full_duplicates
+from ..operators.joins import songs_with_artists
 from ..operators.quality import row_counts
 from ..plans import arrivals, music, sessions
 from ..schemas import CATALOGUE_RAW, DIM_STATISTICS, FACT_IMMI, LOG_RAW, SONGPLAYS, USER_SESSIONS
 from ..scratch import materialise, scratch_path
 from ..sinks.files import write_table
 from ..sources.files import read_csv, read_table, read_tables
+from ..sources.staging import stage_json
 from .base import query
 
 
@@ -70,9 +72,8 @@ def catalogue_star(t):
     _catalogue(t).write.json(root)
     staged = music.stage_catalogue(t.spark, root)
     songs, artists = music.songs_dim(staged), music.artists_dim(staged)
-    return songs.join(artists, "artist_id").select(
-        "song_id", "title", "artist_id", "name", "location", F.col("longitude"), "duration", "year"
-    )
+    found = songs_with_artists(songs, artists, ["artist_name", "location", "longitude"])
+    return found.withColumnRenamed("artist_name", "name")
 
 
 _PLAYS_SQL = """
@@ -108,10 +109,9 @@ def log_star(t):
     FROM ({_PLAYS_SQL}) e
 """)
 def warehouse_star(t):
-    """Mapped staging, inner join on title and artist, distinct: the other fact."""
-    root = scratch_path(t.spark, "warehouse-star")
-    _log(t).write.json(f"{root}/raw/log")
-    log = music.stage_log(t.spark, f"{root}/raw/log", music.LOG_MAPPING)
+    """Log lines staged through the mapping, inner join on title and artist, distinct."""
+    lines = _log(t).select(F.to_json(F.struct("*")).alias("value"))
+    log = drop_full_duplicates(stage_json(lines, "value", music.LOG_MAPPING))
     # Carried through as the agent, to be told apart in the result.
     log = log.withColumn("userAgent", F.col("itemInSession").cast("string"))
     fact = music.songplays_fact(log, _catalogue(t), match="title", how="inner")
