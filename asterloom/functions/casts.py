@@ -27,13 +27,32 @@ def to_float(c: ColumnOrName) -> Column:
     return _col(c).try_cast("float")
 
 
+# What a number may look like. A cast that fails costs an exception per value,
+# many times the price of this test, and raw files are full of blanks.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_NUMBER_OR_NAN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
+
+
 def text_to_whole(c: ColumnOrName, dtype: str | T.DataType = "bigint") -> Column:
     """Whole number from text that may be spelled `5748517.0` or `1.5E12`.
 
-    A direct cast of such text gives NULL; the decimal step, taken only then,
-    keeps all digits.
+    A direct cast of such text gives NULL; the decimal step keeps all digits.
     """
-    return F.coalesce(_col(c).try_cast(dtype), _col(c).try_cast("decimal(38,18)").try_cast(dtype))
+    return F.when(_col(c).rlike(_NUMBER), _col(c).try_cast("decimal(38,18)").try_cast(dtype))
+
+
+def text_to_real(c: ColumnOrName, dtype: str | T.DataType = "double") -> Column:
+    """Float, double or decimal from text."""
+    return F.when(_col(c).rlike(_NUMBER_OR_NAN), _col(c).try_cast(dtype))
+
+
+def text_to(c: ColumnOrName, dtype: T.DataType) -> Column:
+    """Text as any declared type, NULL where it does not fit."""
+    if isinstance(dtype, _WHOLE):
+        return text_to_whole(c, dtype)
+    if isinstance(dtype, T.FractionalType):
+        return text_to_real(c, dtype)
+    return _col(c) if isinstance(dtype, T.StringType) else _col(c).try_cast(dtype)
 
 
 def whole_rounded(c: ColumnOrName) -> Column:
@@ -60,7 +79,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def _typed(source: T.StructField, target: T.StructField) -> Column:
     c = F.col(f"`{source.name}`")
-    if source.dataType != target.dataType:
-        from_text = isinstance(source.dataType, T.StringType) and isinstance(target.dataType, _WHOLE)
-        c = text_to_whole(c, target.dataType) if from_text else c.try_cast(target.dataType)
+    if isinstance(source.dataType, T.StringType):
+        c = text_to(c, target.dataType)
+    elif source.dataType != target.dataType:
+        c = c.try_cast(target.dataType)
     return c.alias(target.name)

@@ -111,7 +111,8 @@ def log_star(t):
 def warehouse_star(t):
     """Log lines staged through the mapping, inner join on title and artist, distinct."""
     lines = _log(t).select(F.to_json(F.struct("*")).alias("value"))
-    log = drop_full_duplicates(stage_json(lines, "value", music.LOG_MAPPING))
+    # Repeated lines go before they are parsed.
+    log = materialise(stage_json(drop_full_duplicates(lines), "value", music.LOG_MAPPING), "staged-log")
     # Carried through as the agent, to be told apart in the result.
     log = log.withColumn("userAgent", F.col("itemInSession").cast("string"))
     fact = music.songplays_fact(log, _catalogue(t), match="title", how="inner")

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casts import conform, text_to_whole
+from ..functions.casts import conform, text_to, text_to_whole
 from ..functions.timeparts import from_epoch_millis
+from ..schemas import schema_of
 from .files import read_csv, read_csv_skipping, read_json
 
 EPOCH_MILLIS = "epoch_millis"
-_WHOLE = {"int", "integer", "bigint", "long", "smallint", "tinyint"}
 _STEP = re.compile(r"\.([A-Za-z_]\w*)|\['([^']+)'\]")
 
 
@@ -49,9 +49,7 @@ def _nested_schema(paths: Sequence[tuple[str, ...]]) -> T.StructType:
 def _as_type(c: Column, dtype: str) -> Column:
     if dtype == EPOCH_MILLIS:
         return from_epoch_millis(text_to_whole(c))
-    if dtype in _WHOLE:
-        return text_to_whole(c, dtype)
-    return c if dtype == "string" else c.try_cast(dtype)
+    return text_to(c, schema_of(f"c {dtype}")[0].dataType)
 
 
 def stage_json(
@@ -63,7 +61,9 @@ def stage_json(
     """Typed columns from a column of JSON text, in the order of `mapping`.
 
     `mapping` is `{column: (path, type)}`. The text is parsed once for all
-    paths; a value that does not fit its type becomes NULL.
+    paths; a value that does not fit its type becomes NULL. Store the result
+    (`materialise`) before filtering it: Spark moves a filter below the parse,
+    and then parses once more for each column the filter names.
     """
     steps = {name: path_steps(path) for name, (path, _) in mapping.items()}
     schema = _nested_schema(list(dict.fromkeys(steps.values())))

@@ -203,3 +203,9 @@ def test_stage_json_mapping(spark):
     ]
     with pytest.raises(ValueError, match="both"):
         stage_json(lines, "value", {"a": ("$.n", "string"), "b": ("$.n.ts", "string")})
+
+
+def test_text_to_real_accepts_what_a_cast_does(spark):
+    df = spark.createDataFrame([(s,) for s in ("246.3", " 1e3 ", "-.5", "5.", "NaN", "-Infinity", "", "x", "1 2", None)], "s string")
+    got = [tuple(r) for r in df.select(casts.text_to_real("s").cast("string"), F.col("s").try_cast("double").cast("string")).collect()]
+    assert [a for a, _ in got] == [b for _, b in got]
