@@ -91,6 +91,30 @@ def insert_new_stored(t):
     return read_table(t.spark, _LEVELS, root)
 
 
+_DAILY = TableSpec(
+    "daily_levels", schema_of("user_id bigint, first_id bigint, level string, day date"), key=("day", "user_id"), partition_by=("day",)
+)
+
+
+@query("""
+    SELECT user_id, arg_min(event_id, (ts, event_id)) AS first_id, arg_max(event_type, (ts, event_id)) AS level,
+           CAST(ts AS DATE) AS day
+    FROM events GROUP BY user_id, CAST(ts AS DATE)
+""")
+def upsert_touched_partitions(t):
+    """Two batches, by time of a day in the middle; the second rewrites its days only."""
+    root = scratch_path(t.spark, "upsert-days")
+    rows = t.events.select(
+        "user_id", F.col("event_id").alias("first_id"), F.col("event_type").alias("level"), F.col("ts").cast("date").alias("day"),
+        "ts", "event_id",
+    )
+    noon = F.lit("2024-01-16 12:00:00").cast("timestamp_ntz")
+    write_table(t.spark.createDataFrame([], _DAILY.schema), _DAILY, root)
+    for batch in (rows.filter(F.col("ts") < noon), rows.filter(F.col("ts") >= noon)):
+        upsert_table(batch, _DAILY, root, ["ts", "event_id"], ["level"])
+    return read_table(t.spark, _DAILY, root)
+
+
 _TYPED = TableSpec(
     "typed_orders",
     schema_of("order_id int, placed date, whole_price decimal(18,0), status string, note string"),

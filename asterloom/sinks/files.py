@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,17 @@ MODES = ("overwrite", "append")
 
 
 def lay_out(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Rows of a partition together, sorted for row-group pruning.
+    """Rows of a partition or of a key range together, sorted for pruning.
 
     `rebalance` gives one file per small partition and splits a huge one by
-    size; a plain repartition would send a hot partition to a single task.
+    size; a plain repartition would send a hot partition to a single task. A
+    table without partitions is cut into ranges of its clustering columns, so
+    that a look-up of one key skips all files but one or two.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    elif cluster_by:
+        df = df.repartitionByRange(*cluster_by)
     order = [*partition_by, *cluster_by]
     return df.sortWithinPartitions(*order) if order else df
 
@@ -91,16 +96,32 @@ def replace_table(df: DataFrame, spec: TableSpec, root: str) -> None:
 def upsert_table(
     updates: DataFrame, spec: TableSpec, root: str, order_by: Sequence[str], update: Sequence[str]
 ) -> None:
-    """Upsert a batch into a stored table, `update` columns only."""
+    """Upsert a batch into a stored table, `update` columns only.
+
+    Plain Parquet has no merge, so files are rewritten: all of them, or, where
+    the table is partitioned by columns of its key, those of the partitions
+    the batch touches.
+    """
     target = read_table(updates.sparkSession, spec, root)
-    replace_table(upsert(target, updates, spec.key, order_by, update), spec, root)
+    if not spec.partition_by or not set(spec.partition_by) <= set(spec.key):
+        replace_table(upsert(target, updates, spec.key, order_by, update), spec, root)
+        return
+    touched = updates.select(*spec.partition_by).distinct().select([F.col(c).alias(f"_{c}") for c in spec.partition_by])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in spec.partition_by])
+    merged = upsert(target.join(touched, same, "left_semi"), updates, spec.key, order_by, update)
+    stored = materialise(conform(merged, spec.schema), spec.name)
+    writer = lay_out(stored, spec.partition_by, spec.cluster_by).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by).parquet(table_path(spec, root))
 
 
 def insert_new(updates: DataFrame, spec: TableSpec, root: str, order_by: Sequence[str]) -> None:
-    """Append the rows whose key the stored table lacks; never rewrites it."""
+    """Append the rows whose key the stored table lacks; never rewrites it.
+
+    The files to compare with are listed before the write, so appending to the
+    table that is read is safe.
+    """
     target = read_table(updates.sparkSession, spec, root)
-    fresh = conform(insert_ignore(target, updates, spec.key, order_by), spec.schema)
-    write_table(materialise(fresh, spec.name), spec, root, "append")
+    write_table(insert_ignore(target, updates, spec.key, order_by), spec, root, "append")
 
 
 def copy_tables(spark: SparkSession, specs: Sequence[TableSpec], source_root: str, target_root: str) -> None:

@@ -49,12 +49,14 @@ def read_csv(
     """CSV files or whole directories of them as one set of `schema`.
 
     With a header, columns are found by name and files may hold more columns
-    than declared; without one, `schema` lists all columns in order. Types
-    are never inferred. Empty text reads as NULL.
+    than declared; a file whose header differs from the first one's fails the
+    read. Without a header, `schema` lists all columns in order. Types are
+    never inferred. Empty text reads as NULL.
     """
     reader = (
         spark.read.option("sep", sep)
         .option("header", header)
+        .option("enforceSchema", not header)
         .option("recursiveFileLookup", str(recursive).lower())
         .options(**options)
     )

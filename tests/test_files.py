@@ -157,6 +157,47 @@ def test_upsert_and_insert_into_stored_table(spark, folder):
     assert rows(sources.read_table(spark, STATES, folder)) == want + [(4, "e", "E")]
 
 
+DAYS = TableSpec("days", schema_of("k int, v string, day string"), key=("day", "k"), partition_by=("day",))
+
+
+def test_upsert_rewrites_touched_partitions_only(spark, folder, local):
+    def batch(*values):
+        return spark.createDataFrame(list(values), "k int, v string, day string, ts int")
+
+    sinks.write_table(batch((1, "a", "01", 0), (1, "b", "02", 0), (2, "c", None, 0)), DAYS, folder)
+    before = {p.name for p in (local / "days/day=01").glob("*.parquet")}
+    sinks.upsert_table(batch((1, "B", "02", 1), (3, "d", "02", 1), (3, "e", "03", 1), (2, "C", None, 2)), DAYS, folder, ["ts"], ["v"])
+    assert {p.name for p in (local / "days/day=01").glob("*.parquet")} == before
+    assert rows(sources.read_table(spark, DAYS, folder)) == [
+        (1, "B", "02"), (1, "a", "01"), (2, "C", None), (2, "c", None), (3, "d", "02"), (3, "e", "03"),
+    ]
+
+
+def test_clustered_table_keeps_key_ranges_apart(spark, folder, local):
+    import pyarrow.parquet as pq
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spec = TableSpec("items", schema_of("s bigint, i bigint"), cluster_by=("s", "i"))
+        sinks.write_table(spark.range(4000).selectExpr("id % 100 as s", "id as i").repartition(8), spec, folder)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    spans = sorted(
+        (stats.min, stats.max)
+        for p in (local / "items").glob("*.parquet")
+        for stats in [pq.ParquetFile(p).metadata.row_group(0).column(0).statistics]
+    )
+    assert len(spans) > 2 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_csv_with_another_header_is_refused(spark, local, folder):
+    write(local / "1.csv", "a,b\n1,2\n")
+    write(local / "2.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        sources.read_csv(spark, folder, schema_of("a int, b int")).collect()
+
+
 def test_copy_keeps_layout(spark, folder, local):
     sinks.write_table(states(spark, ("07", "a", 1, 0), ("GA", "c", 3, 0)), STATES, f"{folder}/a")
     sinks.copy_tables(spark, [STATES], f"{folder}/a", f"{folder}/b")
