@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import conform
-from ..schemas import TableSpec
+from ..schemas import TableSpec, schema_of
 
 
-def _as_text(schema: T.StructType) -> T.StructType:
+def as_text(schema: T.StructType) -> T.StructType:
+    """The same columns, all text."""
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
@@ -31,7 +32,7 @@ def read_json(
     number and a bad value becomes NULL. `paths` may hold globs; `recursive`
     reads a whole tree instead.
     """
-    reader = spark.read.schema(_as_text(schema)).option("recursiveFileLookup", str(recursive).lower())
+    reader = spark.read.schema(as_text(schema)).option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return conform(reader.json(paths), schema)
@@ -61,7 +62,7 @@ def read_csv(
         .options(**options)
     )
     if not header:
-        reader = reader.schema(_as_text(schema))
+        reader = reader.schema(as_text(schema))
     return conform(reader.csv(paths), schema)
 
 
@@ -128,9 +129,16 @@ def code_list(
     pairs: Mapping[object, str] | Sequence[tuple[object, str]],
     schema: str | T.StructType,
 ) -> DataFrame:
-    """A small code table from literal pairs."""
+    """A small code table from literal pairs.
+
+    Built from Arrow, so that Spark knows its size and can broadcast it; from
+    plain rows it would be of unknown size, and the other side of a join
+    would be shuffled.
+    """
     rows = list(pairs.items()) if isinstance(pairs, Mapping) else list(pairs)
-    return spark.createDataFrame(rows, schema)
+    schema = schema_of(schema) if isinstance(schema, str) else schema
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.fieldNames())}
+    return spark.createDataFrame(pa.table(columns), schema)
 
 
 def process_files(

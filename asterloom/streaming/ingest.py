@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.casts import conform
 from ..schemas import TableSpec
 from ..session import shuffle_partitions
 from ..sinks.files import insert_new, upsert_table, write_table
+from ..sources.files import as_text
 
 _TIME = "_event_time"
 
@@ -49,13 +51,17 @@ def stream_files(
     glob: str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """New files under `path` as a stream."""
-    reader = spark.readStream.schema(schema).format(file_format)
+    """New files under `path` as a stream.
+
+    JSON values are taken as text and then cast, as `read_json` does.
+    """
+    read_as = as_text(schema) if file_format == "json" else schema
+    reader = spark.readStream.schema(read_as).format(file_format)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return conform(reader.load(path), schema)
 
 
 def drop_repeats(stream: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from asterloom import scratch
 from asterloom.schemas import LOG_RAW, TableSpec, schema_of
+from asterloom.session import estimated_bytes
 from asterloom.sinks import catalog, files as sinks
 from asterloom.sources import files as sources
 from asterloom.sources.staging import stage_files
@@ -88,6 +89,8 @@ def test_render_path():
 def test_code_list_and_process_files(spark, local, folder):
     codes = sources.code_list(spark, {1: "Air", 2: "Sea"}, "code int, travel string")
     assert rows(codes) == [(1, "Air"), (2, "Sea")]
+    assert codes.schema == schema_of("code int, travel string") and estimated_bytes(codes) < 1000
+    assert sources.code_list(spark, [], "code int, travel string").count() == 0
     write(local / "a.json", '{"k":1}\n{"k":1}\n')
     got = sources.process_files(lambda p: sources.read_json(spark, p, schema_of("k int")), [folder], lambda df: df.distinct())
     assert rows(got) == [(1,)]
