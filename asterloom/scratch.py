@@ -40,3 +40,20 @@ def materialise(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to `path` went through to its end."""
+    files, marker = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table nobody reads any more."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import conform
 from ..operators.upsert import insert_ignore, upsert
 from ..schemas import TableSpec
-from ..scratch import materialise
+from ..scratch import is_complete, scratch_path
 from ..sources.files import read_table
 
 MODES = ("overwrite", "append")
@@ -84,34 +84,48 @@ def load_table(
     write_table(rows, spec, root, "overwrite" if truncate else "append")
 
 
-def replace_table(df: DataFrame, spec: TableSpec, root: str) -> None:
+def replace_table(rows: DataFrame, spec: TableSpec, root: str, staged: str | None = None, touched_only: bool = False) -> None:
     """Overwrite a table by rows computed from that same table.
 
     The rows are stored first: reading and overwriting one path in one job
-    would delete the input. After a failure the stored copy is still whole.
+    would delete the input. With a `staged` path a repeat after a failure uses
+    the rows stored there, if their write was completed, and does not read the
+    half-written table again. `touched_only` replaces the partitions that
+    `rows` have and leaves the others.
     """
-    write_table(materialise(conform(df, spec.schema), spec.name), spec, root, "overwrite")
+    spark = rows.sparkSession
+    staged = staged or scratch_path(spark, spec.name)
+    if not is_complete(spark, staged):
+        conform(rows, spec.schema).write.mode("overwrite").parquet(staged)
+    stored = spark.read.schema(spec.schema).parquet(staged)
+    if not touched_only:
+        write_table(stored, spec, root)
+        return
+    writer = lay_out(stored, spec.partition_by, spec.cluster_by).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by).parquet(table_path(spec, root))
 
 
 def upsert_table(
-    updates: DataFrame, spec: TableSpec, root: str, order_by: Sequence[str], update: Sequence[str]
+    updates: DataFrame,
+    spec: TableSpec,
+    root: str,
+    order_by: Sequence[str],
+    update: Sequence[str],
+    staged: str | None = None,
 ) -> None:
     """Upsert a batch into a stored table, `update` columns only.
 
     Plain Parquet has no merge, so files are rewritten: all of them, or, where
     the table is partitioned by columns of its key, those of the partitions
-    the batch touches.
+    the batch touches. `staged` is explained at `replace_table`.
     """
     target = read_table(updates.sparkSession, spec, root)
-    if not spec.partition_by or not set(spec.partition_by) <= set(spec.key):
-        replace_table(upsert(target, updates, spec.key, order_by, update), spec, root)
-        return
-    touched = updates.select(*spec.partition_by).distinct().select([F.col(c).alias(f"_{c}") for c in spec.partition_by])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in spec.partition_by])
-    merged = upsert(target.join(touched, same, "left_semi"), updates, spec.key, order_by, update)
-    stored = materialise(conform(merged, spec.schema), spec.name)
-    writer = lay_out(stored, spec.partition_by, spec.cluster_by).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by).parquet(table_path(spec, root))
+    by_partition = bool(spec.partition_by) and set(spec.partition_by) <= set(spec.key)
+    if by_partition:
+        touched = updates.select([F.col(c).alias(f"_{c}") for c in spec.partition_by]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in spec.partition_by])
+        target = target.join(touched, same, "left_semi")
+    replace_table(upsert(target, updates, spec.key, order_by, update), spec, root, staged, by_partition)
 
 
 def insert_new(updates: DataFrame, spec: TableSpec, root: str, order_by: Sequence[str]) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.casts import conform
 from ..schemas import TableSpec
+from ..scratch import discard
 from ..session import shuffle_partitions
 from ..sinks.files import insert_new, upsert_table, write_table
 from ..sources.files import as_text
@@ -132,12 +133,15 @@ def upsert_stream(
     """Upsert every batch into a stored table.
 
     A repeated batch gives the same table: `update` columns take the same last
-    values again, and the others are already there.
+    values again, and the others are already there. Each batch's rows are
+    stored beside the checkpoint before the table is touched, so that a run
+    lost in between is made good by the next one.
     """
     _create(stream, spec, root)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(prepare(batch), spec, root, order_by, update)
+        upsert_table(prepare(batch), spec, root, order_by, update, f"{checkpoint}/merged/{batch_id}")
+        discard(batch.sparkSession, f"{checkpoint}/merged/{batch_id - 1}")
 
     return run_available(stream.writeStream.foreachBatch(load), checkpoint)
 

@@ -6,6 +6,7 @@ import json
 import pytest
 
 from asterloom.schemas import TableSpec, schema_of
+from asterloom.sinks.files import upsert_table, write_table
 from asterloom.sources.files import read_table
 from asterloom.streaming import ingest
 
@@ -61,6 +62,33 @@ def test_batches_are_upserted(spark, folder, local):
     assert load() == [(7, "paid"), (8, "paid"), (9, "free")]
 
 
+def test_a_run_lost_while_overwriting_is_made_good(spark, folder):
+    def users(*values):
+        return spark.createDataFrame(list(values), "user bigint, level string, ts int")
+
+    write_table(users((1, "free", 0), (2, "free", 0)), USERS, folder)
+    batch, staged = users((2, "paid", 1)), f"{folder}/merged/0"
+    upsert_table(batch, USERS, folder, ["ts"], ["level"], staged)
+    # As if the overwrite had stopped half way.
+    write_table(users((2, "paid", 0)), USERS, folder)
+    upsert_table(batch, USERS, folder, ["ts"], ["level"], staged)
+    assert rows(read_table(spark, USERS, folder)) == [(1, "free"), (2, "paid")]
+
+
+def test_late_rows_are_inserted_without_a_watermark(spark, folder, local):
+    spec = TableSpec("events", SCHEMA, key=("id",))
+
+    def load():
+        stream = ingest.stream_files(ingest.stream_session(spark, 0), f"{folder}/in", SCHEMA, "json", files_per_batch=1)
+        ingest.insert_stream(stream, spec, folder, f"{folder}/state", ["ts"])
+        return rows(read_table(spark, spec, folder).select("id", "level"))
+
+    arrive(local, "a", (1, "2018-11-02T10:00:00", 7, "free"), (1, "2018-11-02T10:00:00", 7, "free"))
+    assert load() == [(1, "free")]
+    arrive(local, "b", (1, "2018-11-02T10:00:00", 7, "other"), (2, "2017-01-01T00:00:00", "8", "paid"))
+    assert load() == [(1, "free"), (2, "paid")]
+
+
 def test_stream_keeps_the_callers_session(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     session = ingest.stream_session(spark, 10**12)
