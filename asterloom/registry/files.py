@@ -30,10 +30,10 @@ def catalogue_json_glob(t):
     )
 
 
-_LOG = "event_id bigint, ts bigint, user_id string, event_type string"
-
-
-@query("SELECT event_id, ts, user_id, event_type FROM (SELECT event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts, CAST(user_id AS INTEGER) AS user_id, event_type FROM events) e")
+@query("""
+    SELECT event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts, CAST(user_id AS INTEGER) AS user_id, event_type
+    FROM events WHERE year(ts) = 2024 AND month(ts) = 1
+""")
 def log_json_month(t):
     """JSON lines by year and month; one run reads the folder of its month."""
     root = scratch_path(t.spark, "log")

@@ -123,7 +123,8 @@ def warehouse_star(t):
 
 @query("""
     SELECT 'artists' AS tbl, count(DISTINCT p_brand) AS n, true AS ok FROM part
-    UNION ALL SELECT 'songplays', count(*), true FROM (SELECT DISTINCT * EXCLUDE (l_discount, l_tax) FROM lineitem WHERE l_returnflag = 'R') l
+    UNION ALL SELECT 'songplays', count(*), true
+              FROM (SELECT DISTINCT * EXCLUDE (l_discount, l_tax) FROM lineitem WHERE l_returnflag = 'R') l
     UNION ALL SELECT 'songs', count(*), true FROM part
     UNION ALL SELECT 'time', count(DISTINCT l_shipdate), true FROM lineitem WHERE l_returnflag = 'R'
     UNION ALL SELECT 'users', count(DISTINCT l_suppkey), true FROM lineitem WHERE l_returnflag = 'R'
