@@ -12,20 +12,33 @@ from ..functions.casts import conform
 from ..operators.upsert import insert_ignore, upsert
 from ..schemas import TableSpec
 from ..scratch import is_complete, scratch_path
+from ..session import estimated_bytes
 from ..sources.files import read_table
 
 MODES = ("overwrite", "append")
 
 
-def lay_out(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
+# A table up to this size cannot overload one task, however its rows fall.
+SMALL_TABLE_BYTES = 256 * 1024 * 1024
+
+
+def lay_out(
+    df: DataFrame,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    small_bytes: int = SMALL_TABLE_BYTES,
+) -> DataFrame:
     """Rows of a partition or of a key range together, sorted for pruning.
 
     `rebalance` gives one file per small partition and splits a huge one by
-    size; a plain repartition would send a hot partition to a single task. A
+    size; a plain repartition would send a hot partition to a single task, so
+    it serves small tables only, whose many folders it fills in parallel. A
     table without partitions is cut into ranges of its clustering columns, so
     that a look-up of one key skips all files but one or two.
     """
-    if partition_by:
+    if partition_by and estimated_bytes(df) <= small_bytes:
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *partition_by)
+    elif partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     elif cluster_by:
         df = df.repartitionByRange(*cluster_by)

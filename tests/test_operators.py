@@ -69,7 +69,7 @@ stored = st.dictionaries(st.integers(1, 6), st.tuples(st.sampled_from(["X", None
 
 
 @pytest.mark.parametrize("update", [["level"], ["name", "level"]])
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(batch=users, target=stored)
 def test_upsert_equals_row_by_row(spark, update, batch, target):
     batch = [(*r, i) for i, r in enumerate(batch)]

@@ -83,7 +83,7 @@ def test_hot_partition_is_written_by_several_tasks(spark, small_thresholds, fold
     rows = spark.range(0, 60000, 1, 16).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 5)).alias("p"), "id", F.rand(1).alias("r")
     )
-    lay_out(rows, ["p"]).write.partitionBy("p").parquet(f"{folder}/t")
+    lay_out(rows, ["p"], small_bytes=0).write.partitionBy("p").parquet(f"{folder}/t")
     files = {d.name: len(list(d.glob("*.parquet"))) for d in (local / "t").glob("p=*")}
     assert files["p=hot"] > 1
     assert spark.read.parquet(f"{folder}/t").count() == 60000
