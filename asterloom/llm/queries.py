@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
+from .bpe import digests, encode_decode
+from .decontam import contaminated
 from .near_dups import near_duplicates
+from .quality import score_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,3 +29,23 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 def op7_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of texts with Jaccard 0.85 or more over three-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the passage's place."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document against its language's threshold."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    import public_tokenizers
+
+    return digests(encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))

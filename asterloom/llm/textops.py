@@ -156,3 +156,16 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     """Rows of lists out of one flat array and the length of each list."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of a slice of UTF-8 texts, the texts' offsets in them, and that of every byte."""
+    leads = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=leads[1:])
+    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    return points, leads[offsets], leads
+
+
+def text_numbers(offsets: np.ndarray) -> np.ndarray:
+    """For each element, the number of the text it belongs to."""
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
