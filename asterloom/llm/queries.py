@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import tune
 from .bpe import digests, encode_decode
 from .decontam import contaminated
+from .langid import predict_languages, train_languages
 from .near_dups import near_duplicates
 from .quality import score_quality
 
@@ -49,3 +51,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return digests(encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def held_out() -> Column:
+    """One document in three, by the checksum of its id, is kept from training."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents not held out."""
+    docs = table(spark, sf_dir, "documents")
+    decoder = train_languages(docs.filter(~held_out()))
+    found = predict_languages(docs, decoder)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
