@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ..session import tune
 from .bpe import digests, encode_decode
 from .decontam import contaminated
+from .html_text import extract_main_text
 from .langid import predict_languages, train_languages
 from .near_dups import near_duplicates
 from .quality import score_quality
+from .topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +67,33 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoder = train_languages(docs.filter(~held_out()))
     found = predict_languages(docs, decoder)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rows with the highest inner product for every fiftieth vector."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op8_exact_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0),
+r as (
+  select query_id, vec_id, score,
+    cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as "rank" from s)
+select query_id, "rank", vec_id, score from r where "rank" <= 5
+"""
