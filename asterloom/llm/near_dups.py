@@ -21,7 +21,7 @@ from ..scratch import materialise
 from .components import components
 from .textops import U, Words, distinct_per_text, each_slice, id_text, list_array, mix
 
-SLOTS = 97  # prime
+SLOTS = 389  # prime; the first ones make the bands, all of them the sketch
 ROWS = 4  # slots per band
 FEATURES = "doc_id long, n_shingles long, key_a long, key_b long, sketch binary, bands array<long>"
 BLOCK = 256  # members of a bucket that one task compares with as many others
@@ -97,8 +97,8 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _least_agreement(similarity: float) -> float:
-    """Six standard deviations under what a pair at the threshold shows."""
-    return max(0.0, similarity - 6 * (similarity * (1 - similarity) / SLOTS) ** 0.5)
+    """4.5 standard deviations under what a pair at the threshold shows: one in 300,000 is below."""
+    return max(0.0, similarity - 4.5 * (similarity * (1 - similarity) / SLOTS) ** 0.5)
 
 
 def _plausible_batches(least: float):
@@ -203,20 +203,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = full.groupBy("key_a", "key_b", "n_shingles").agg(
         F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     classes = materialise(classes, "classes")
-    exploded = classes.select("node", F.col("n_shingles").alias("n"), "sketch", F.explode("bands").alias("bucket"))
+    sketches = classes.select("node", "sketch")
+    exploded = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     members = materialise(exploded.join(shared, "bucket"), "members")
     central = members.groupBy("node").agg(F.sum("members").alias("meets"))
-    rated = members.join(central, "node")
-    leaders = rated.groupBy("bucket").agg(
-        F.max(F.struct(F.col("meets"), (-F.col("node")).alias("low"), F.col("sketch"), F.col("n"))).alias("x"))
-    leaders = leaders.select("bucket", (-F.col("x.low")).alias("near"), F.col("x.sketch").alias("leader_sketch"),
-                             F.col("x.n").alias("leader_n"))
-    leaders = materialise(leaders, "leaders")
+    leaders = members.join(central, "node").groupBy("bucket").agg(
+        F.max(F.struct(F.col("meets"), (-F.col("node")).alias("low"), F.col("n"))).alias("x"))
+    leaders = materialise(
+        leaders.select("bucket", (-F.col("x.low")).alias("near"), F.col("x.n").alias("leader_n")), "leaders")
     star = (members.join(leaders, "bucket").filter("node <> near")
             .filter(F.least("n", "leader_n") >= similarity * F.greatest("n", "leader_n"))
-            .select("node", "near", "sketch", "leader_sketch"))
-    star = star.mapInArrow(_plausible_batches(least), "node long, near long").distinct()
+            .select("node", "near").distinct())
+    star = star.join(sketches, "node").join(
+        sketches.select(F.col("node").alias("near"), F.col("sketch").alias("leader_sketch")), "near")
+    star = star.mapInArrow(_plausible_batches(least), "node long, near long")
     links = _verified(materialise(star, "pairs"), docs, width, percent)
     several = full.groupBy("doc_id").agg(
         F.min(F.struct("key_a", "key_b")).alias("low"), F.max(F.struct("key_a", "key_b")).alias("high"))
@@ -242,9 +243,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         rest.withColumn("j", F.pmod("spread", "columns")).withColumn(
             "i", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).withColumn("stray", F.lit(False)),
     ]
-    sides = [x.selectExpr("bucket", "int(i) i", "int(j) j", "node", "n", "sketch", "component", "major", "stray")
+    sides = [x.selectExpr("bucket", "int(i) i", "int(j) j", "node", "n", "component", "major", "stray")
              for x in sides]
-    blocks = sides[0].union(sides[1]).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    blocks = sides[0].union(sides[1]).join(sketches, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     cross = blocks.mapInArrow(_cross_batches(least, similarity), "node long, near long").distinct()
     more = _verified(materialise(cross, "pairs"), docs, width, percent)
     every = links.union(more).union(same_id)
