@@ -12,8 +12,9 @@ from .bpe import digests, encode_decode
 from .decontam import contaminated
 from .html_text import extract_main_text
 from .langid import predict_languages, train_languages
+from .lm_scores import score_difference
 from .near_dups import near_duplicates
-from .quality import score_quality
+from .quality import score_quality, trusted_ids
 from .topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +98,9 @@ r as (
     cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as "rank" from s)
 select query_id, "rank", vec_id, score from r where "rank" <= 5
 """
+
+
+@query
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document between trusted text and all text."""
+    return score_difference(table(spark, sf_dir, "documents"), trusted_ids(table(spark, sf_dir, "labels")))
