@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import tune
 from .bpe import digests, encode_decode
 from .decontam import contaminated
+from .exact_substrings import remove_repeats
 from .html_text import extract_main_text
 from .langid import predict_languages, train_languages
 from .lm_scores import score_difference
@@ -104,3 +105,10 @@ select query_id, "rank", vec_id, score from r where "rank" <= 5
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document between trusted text and all text."""
     return score_difference(table(spark, sf_dir, "documents"), trusted_ids(table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_exact_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 100-byte strings seen before."""
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
