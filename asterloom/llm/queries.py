@@ -15,6 +15,7 @@ from .html_text import extract_main_text
 from .langid import predict_languages, train_languages
 from .lm_scores import score_difference
 from .near_dups import near_duplicates
+from .passages import near_passages
 from .quality import score_quality, trusted_ids
 from .topk import top_k
 
@@ -112,3 +113,9 @@ def op2_exact_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 100-byte strings seen before."""
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document also has, nearly or fully."""
+    return near_passages(table(spark, sf_dir, "documents"))
