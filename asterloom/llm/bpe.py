@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .textops import each_slice, list_array
 
-SLICE = 1 << 21
+SLICE = 1 << 22
 CACHED_CHUNKS = 200_000  # a worker forgets its words beyond this; results don't depend on it
 SPLITS_ALIKE = regex.compile("[\x1c-\x1f]")  # the only characters str.split() takes for blanks and \s doesn't
 
@@ -58,10 +58,12 @@ class Vocabulary:
         self.words = regex.compile(steps[0]["pattern"]["Regex"])
         self.ranks = {tuple(x if isinstance(x, list) else x.split(" ")): i for i, x in enumerate(model["merges"])}
         self.longest = max(len(t.removesuffix(self.end)) for t in self.ids)
+        self.sizes = {i: len(self._units(t)) for t, i in self.ids.items()}
         self.letters = byte_letters()
         self.alone: dict[int, bool] = {}
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.beside: dict[int, bool] = {}  # by left << 20 | right
         self.chunks: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
 
     # Merging a short run of units, to learn which tokens may stand together.
 
@@ -72,10 +74,13 @@ class Vocabulary:
         return [*token]
 
     def _merge(self, units: list[str]) -> list[str]:
+        none = len(self.ranks)
         while len(units) > 1:
-            rank, at = min((self.ranks.get(p, len(self.ranks)), i) for i, p in enumerate(zip(units, units[1:])))
-            if rank == len(self.ranks):
+            ranks = [self.ranks.get(p, none) for p in zip(units, units[1:])]
+            rank = min(ranks)
+            if rank == none:
                 break
+            at = ranks.index(rank)
             units = [*units[:at], units[at] + units[at + 1], *units[at + 2 :]]
         return units
 
@@ -86,23 +91,24 @@ class Vocabulary:
         return self.alone[token]
 
     def _may_follow(self, left: int, right: int) -> bool:
-        key = (left, right)
-        if key not in self.beside:
-            a, b = self.names[left], self.names[right]
-            self.beside[key] = self._merge([*self._units(a), *self._units(b)]) == [a, b]
-        return self.beside[key]
+        a, b = self.names[left], self.names[right]
+        return self._merge([*self._units(a), *self._units(b)]) == [a, b]
 
     def _last_token(self, word: str, stop: int, states: list[int], end: str) -> int:
         """The last token of word[:stop]; states hold those of shorter prefixes."""
-        ids = self.ids
-        for length in range(min(stop, self.longest), 0, -1):
-            token = ids.get(word[stop - length : stop] + end)
+        find, beside = self.ids.get, self.beside
+        for start in range(max(stop - self.longest, 0), stop):
+            token = find(word[start:stop] + end) if end else find(word[start:stop])
             if token is None:
                 continue
-            if length == stop:
-                if self._stands_alone(token):
+            if start:
+                pair = states[start] << 20 | token
+                fits = beside.get(pair)
+                if fits is None:
+                    fits = beside[pair] = self._may_follow(states[start], token)
+                if fits:
                     return token
-            elif self._may_follow(states[stop - length], token):
+            elif self._stands_alone(token):
                 return token
         raise ValueError(f"the vocabulary has no token for {word[stop - 1]!r}")
 
@@ -110,32 +116,33 @@ class Vocabulary:
         """Token ids of each distinct word, given in byte letters."""
         out: dict[str, list[int]] = {}
         states: list[int] = [-1]
-        before = ""
+        before, last_token, sizes = "", self._last_token, self.sizes
         for word in sorted(words):
             shared, most = 0, min(len(word), len(before)) - 1
             while shared < most and word[shared] == before[shared]:
                 shared += 1
             del states[shared + 1 :]
             for stop in range(shared + 1, len(word)):
-                states.append(self._last_token(word, stop, states, ""))
-            token, stop, tokens = self._last_token(word, len(word), states, self.end), len(word), []
-            name = self.names[token]
-            while True:
-                tokens.append(token)
-                stop -= len(name.removesuffix(self.end)) if len(tokens) == 1 else len(name)
-                if not stop:
-                    break
+                states.append(last_token(word, stop, states, ""))
+            token = last_token(word, len(word), states, self.end)
+            tokens, stop = [token], len(word) - sizes[token]
+            while stop:
                 token = states[stop]
-                name = self.names[token]
-            out[word] = tokens[::-1]
+                tokens.append(token)
+                stop -= sizes[token]
+            tokens.reverse()
+            out[word] = tokens
             before = word
         return out
 
     def learn(self, chunks: set[str]) -> None:
         """Encode the runs without blanks that are not known yet."""
         if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks.clear()
-        new = [c for c in chunks if c not in self.chunks]
+            # Words in use come back from the older half; the rest is forgotten.
+            self.chunks, self.older = {}, self.chunks
+        missing = [c for c in chunks if c not in self.chunks]
+        self.chunks |= {c: self.older[c] for c in missing if c in self.older}
+        new = [c for c in missing if c not in self.chunks]
         if len(self.beside) > 10 * CACHED_CHUNKS:
             self.beside.clear()
         letters, parts = self.letters, {}
