@@ -122,12 +122,16 @@ def _cross_batches(least: float, similarity: float):
     def pairs(c: dict[str, np.ndarray], first: int, last: int):
         stray = c["stray"][first:last]
         left, right = np.flatnonzero(stray) + first, np.flatnonzero(~stray) + first
-        node, comp, n, major, sketch = c["node"], c["component"], c["n"], c["major"], c["sketch"]
+        node, comp, n, major, sketch, bands = (c[k] for k in ("node", "component", "n", "major", "sketch", "bands"))
         for i in left:
             other = right[(comp[right] != comp[i]) & ((comp[right] == major[i]) | (node[right] > node[i]))]
             other = other[np.minimum(n[other], n[i]) >= similarity * np.maximum(n[other], n[i])]
             if len(other):
                 other = other[_agreement(sketch[other], sketch[i]) >= least]
+            if len(other):
+                # A pair that shares several buckets comes out of the first of them only.
+                shared = (bands[other] == bands[i]).argmax(axis=1)
+                other = other[bands[i][shared] == c["bucket"][i]]
                 yield np.full(len(other), node[i]), node[other]
 
     def run(batches):
@@ -142,6 +146,7 @@ def _cross_batches(least: float, similarity: float):
                 continue
             c = {k: table.column(k).to_numpy() for k in ("bucket", "i", "j", "node", "component", "n", "major", "stray")}
             c["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS)
+            c["bands"] = np.asarray(table.column("bands").combine_chunks().flatten()).reshape(table.num_rows, -1)
             new = (np.diff(c["bucket"]) != 0) | (np.diff(c["i"]) != 0) | (np.diff(c["j"]) != 0)
             edges = np.concatenate([[0], np.flatnonzero(new) + 1, [table.num_rows]])
             if batch is not None:
@@ -203,7 +208,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = full.groupBy("key_a", "key_b", "n_shingles").agg(
         F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     classes = materialise(classes, "classes")
-    sketches = classes.select("node", "sketch")
+    sketches = classes.select("node", "sketch", "bands")
     exploded = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     members = materialise(exploded.join(shared, "bucket"), "members")
@@ -215,7 +220,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     star = (members.join(leaders, "bucket").filter("node <> near")
             .filter(F.least("n", "leader_n") >= similarity * F.greatest("n", "leader_n"))
             .select("node", "near").distinct())
-    star = star.join(sketches, "node").join(
+    star = star.join(sketches.drop("bands"), "node").join(
         sketches.select(F.col("node").alias("near"), F.col("sketch").alias("leader_sketch")), "near")
     star = star.mapInArrow(_plausible_batches(least), "node long, near long")
     links = _verified(materialise(star, "pairs"), docs, width, percent)
