@@ -79,7 +79,7 @@ def csv_quote_all_roundtrip(t):
     root = scratch_path(t.spark, "quoted")
     write_csv(t.part.select("p_partkey", "p_name", "p_brand"), root)
     schema = schema_of("p_partkey bigint, p_name string, p_brand string")
-    return not_blank(read_csv(t.spark, root, schema, escape='"'), "p_name")
+    return not_blank(read_csv(t.spark, root, schema), "p_name")
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")

@@ -11,6 +11,7 @@ from ..operators.quality import require_schema, row_counts
 from ..operators.upsert import reduce_upserts
 from ..schemas import TableSpec, schema_of
 from ..scratch import scratch_path
+from ..session import estimated_bytes, shuffle_partitions
 from ..sinks.catalog import drop_tables, reset_tables, write_bucketed
 from ..sinks.files import copy_tables, insert_new, insert_positional, load_table, upsert_table, write_table
 from ..sources.files import read_table, read_tables
@@ -157,7 +158,7 @@ def bucketed_count(t):
     name = f"bucketed_{uuid.uuid4().hex}"
     stored = write_bucketed(
         t.orders.select("o_custkey", "o_orderkey", "o_orderdate"), name, scratch_path(t.spark, "bucketed"),
-        ["o_custkey"], ["o_custkey", "o_orderdate"],
+        ["o_custkey"], shuffle_partitions(t.spark, estimated_bytes(t.orders)), ["o_custkey", "o_orderdate"],
     )
     return count_by(stored, ["o_custkey"])
 

@@ -20,14 +20,24 @@ _TYPES = {
     "double": T.DoubleType(),
     "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
+    "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(),
 }
-_COLUMN = re.compile(r"(?:`([^`]+)`|(\w+)) (\w+)(?:\((\d+),(\d+)\))?(?:, |$)")
+_COLUMN = re.compile(r"\s*(?:`([^`]+)`|(\w+))\s+(\w+)(?:\(\s*(\d+)\s*,\s*(\d+)\s*\))?\s*(?:,(?=\s*\S)|$)")
 
 
 def schema_of(columns: str) -> T.StructType:
-    """`name type, ...` as a schema; needs no running session."""
-    fields = []
-    for quoted, plain, kind, precision, scale in _COLUMN.findall(columns):
+    """`name type, ...` as a schema; needs no running session.
+
+    Text that isn't wholly columns of known types is an error.
+    """
+    fields, place = [], 0
+    while place < len(columns):
+        found = _COLUMN.match(columns, place)
+        if not found or found[3] not in (*_TYPES, "decimal") or (found[3] == "decimal") != bool(found[4]):
+            raise ValueError(f"not a column of a known type: {columns[place:]!r}")
+        place = found.end()
+        quoted, plain, kind, precision, scale = found.groups()
         dtype = T.DecimalType(int(precision), int(scale)) if kind == "decimal" else _TYPES[kind]
         fields.append(T.StructField(quoted or plain, dtype))
     return T.StructType(fields)

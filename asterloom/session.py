@@ -16,8 +16,6 @@ RUNTIME_SETTINGS = {
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-# Beyond this, blocks per map task cost more than larger partitions do.
-MAX_SHUFFLE_PARTITIONS = 40_000
 
 
 def build_session(app_name: str = "asterloom", master: str | None = None, **settings: str) -> SparkSession:
@@ -55,7 +53,7 @@ def estimated_bytes(df: DataFrame) -> int:
 def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
     """Partitions so that a shuffle of `input_bytes` fits executor memory."""
     by_size = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
-    return int(min(MAX_SHUFFLE_PARTITIONS, max(spark.sparkContext.defaultParallelism, by_size)))
+    return int(max(spark.sparkContext.defaultParallelism, by_size))
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> None:

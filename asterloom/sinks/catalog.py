@@ -52,15 +52,17 @@ def write_bucketed(
     name: str,
     path: str,
     key: Sequence[str],
+    buckets: int,
     sort_by: Sequence[str] = (),
-    buckets: int = 8,
     mode: str = "overwrite",
 ) -> DataFrame:
     """Store rows by hash of their key and sorted inside each bucket.
 
     Later joins and groupings on the key need no shuffle, and a look-up of one
     key reads one bucket. `rebalance` hashes rows as the buckets do but writes
-    a huge bucket by several tasks. Returns the table.
+    a huge bucket by several tasks. A bucket is read by one task, so `buckets`
+    is the caller's choice for the table's size, and a hot key is an unsplit
+    bucket on read. Returns the table.
     """
     placed = df.hint("rebalance", buckets, *[F.col(c) for c in key])
     writer = placed.write.mode(mode).format("parquet").option("path", path).bucketBy(buckets, *key)

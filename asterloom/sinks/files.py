@@ -12,33 +12,24 @@ from ..functions.casts import conform
 from ..operators.upsert import insert_ignore, upsert
 from ..schemas import TableSpec
 from ..scratch import is_complete, scratch_path
-from ..session import estimated_bytes
 from ..sources.files import read_table
 
 MODES = ("overwrite", "append")
 
 
-# A table up to this size cannot overload one task, however its rows fall.
-SMALL_TABLE_BYTES = 256 * 1024 * 1024
-
-
 def lay_out(
     df: DataFrame,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
-    small_bytes: int = SMALL_TABLE_BYTES,
 ) -> DataFrame:
     """Rows of a partition or of a key range together, sorted for pruning.
 
     `rebalance` gives one file per small partition and splits a huge one by
-    size; a plain repartition would send a hot partition to a single task, so
-    it serves small tables only, whose many folders it fills in parallel. A
+    size; a plain repartition would send a hot partition to a single task. A
     table without partitions is cut into ranges of its clustering columns, so
     that a look-up of one key skips all files but one or two.
     """
-    if partition_by and estimated_bytes(df) <= small_bytes:
-        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *partition_by)
-    elif partition_by:
+    if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     elif cluster_by:
         df = df.repartitionByRange(*cluster_by)
@@ -118,6 +109,30 @@ def replace_table(rows: DataFrame, spec: TableSpec, root: str, staged: str | Non
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by).parquet(table_path(spec, root))
 
 
+def _keyed_by_partition(spec: TableSpec) -> bool:
+    return bool(spec.partition_by) and set(spec.partition_by) <= set(spec.key)
+
+
+def touched_rows(updates: DataFrame, spec: TableSpec, root: str) -> DataFrame:
+    """The stored rows that share a partition with some update.
+
+    All rows, unless the table is partitioned by columns of its key. The join
+    is a plain equality, by which Spark leaves other partitions unread; only
+    updates with a NULL partition value take a null-safe one.
+    """
+    target = read_table(updates.sparkSession, spec, root)
+    if not _keyed_by_partition(spec):
+        return target
+    touched = updates.select([F.col(c).alias(f"_{c}") for c in spec.partition_by]).distinct()
+    same = lambda eq: reduce(lambda a, b: a & b, [eq(F.col(c), F.col(f"_{c}")) for c in spec.partition_by])
+    whole = touched.dropna()
+    found = target.join(whole, same(lambda a, b: a == b), "left_semi")
+    some_null = touched.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in touched.columns]))
+    if some_null.isEmpty():
+        return found
+    return found.union(target.join(some_null, same(lambda a, b: a.eqNullSafe(b)), "left_semi"))
+
+
 def upsert_table(
     updates: DataFrame,
     spec: TableSpec,
@@ -132,22 +147,18 @@ def upsert_table(
     the table is partitioned by columns of its key, those of the partitions
     the batch touches. `staged` is explained at `replace_table`.
     """
-    target = read_table(updates.sparkSession, spec, root)
-    by_partition = bool(spec.partition_by) and set(spec.partition_by) <= set(spec.key)
-    if by_partition:
-        touched = updates.select([F.col(c).alias(f"_{c}") for c in spec.partition_by]).distinct()
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in spec.partition_by])
-        target = target.join(touched, same, "left_semi")
-    replace_table(upsert(target, updates, spec.key, order_by, update), spec, root, staged, by_partition)
+    target = touched_rows(updates, spec, root)
+    replace_table(upsert(target, updates, spec.key, order_by, update), spec, root, staged, _keyed_by_partition(spec))
 
 
 def insert_new(updates: DataFrame, spec: TableSpec, root: str, order_by: Sequence[str]) -> None:
     """Append the rows whose key the stored table lacks; never rewrites it.
 
-    The files to compare with are listed before the write, so appending to the
+    Where the table is partitioned by columns of its key, only the partitions
+    that the batch touches are compared with. The files to compare with are listed before the write, so appending to the
     table that is read is safe.
     """
-    target = read_table(updates.sparkSession, spec, root)
+    target = touched_rows(updates, spec, root)
     write_table(insert_ignore(target, updates, spec.key, order_by), spec, root, "append")
 
 

@@ -14,6 +14,10 @@ from ..functions.casts import conform
 from ..schemas import TableSpec, schema_of
 
 
+# A quote inside a quoted field is doubled, as the writers do it.
+QUOTING = {"quote": '"', "escape": '"'}
+
+
 def as_text(schema: T.StructType) -> T.StructType:
     """The same columns, all text."""
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
@@ -45,6 +49,7 @@ def read_csv(
     sep: str = ",",
     header: bool = True,
     recursive: bool = True,
+    multi_line: bool = False,
     **options: str,
 ) -> DataFrame:
     """CSV files or whole directories of them as one set of `schema`.
@@ -52,14 +57,17 @@ def read_csv(
     With a header, columns are found by name and files may hold more columns
     than declared; a file whose header differs from the first one's fails the
     read. Without a header, `schema` lists all columns in order. Types are
-    never inferred. Empty text reads as NULL.
+    never inferred. Empty text reads as NULL. A doubled quote inside a quoted
+    field is one quote. `multi_line` is for files with line breaks in fields;
+    each of them is read by one task.
     """
     reader = (
         spark.read.option("sep", sep)
         .option("header", header)
         .option("enforceSchema", not header)
         .option("recursiveFileLookup", str(recursive).lower())
-        .options(**options)
+        .option("multiLine", multi_line)
+        .options(**{**QUOTING, **options})
     )
     if not header:
         reader = reader.schema(as_text(schema))
@@ -95,7 +103,7 @@ def read_csv_skipping(
                 yield part.select(["value"]).slice(min(skip, part.num_rows))
 
     ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
-    parsed = lines.mapInArrow(drop_head, "value string").select(F.from_csv("value", ddl, {"sep": sep}).alias("r"))
+    parsed = lines.mapInArrow(drop_head, "value string").select(F.from_csv("value", ddl, {"sep": sep, **QUOTING}).alias("r"))
     return conform(parsed.select("r.*"), schema)
 
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,13 +19,6 @@ from ..session import shuffle_partitions
 from ..sinks.files import insert_new, upsert_table, write_table
 from ..sources.files import as_text
 
-_TIME = "_event_time"
-
-
-class LateRowsError(RuntimeError):
-    """Rows came later than the declared delay and were not loaded."""
-
-
 def stream_session(spark: SparkSession, input_bytes: int) -> SparkSession:
     """A session whose state is spread for the input.
 
@@ -65,32 +57,10 @@ def stream_files(
     return conform(reader.load(path), schema)
 
 
-def drop_repeats(stream: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """Drop rows whose key was seen before, within `delay` of event time.
-
-    State is held only as long as the delay lasts. Where rows may come later
-    than any delay, use `insert_stream`. Watermarks need a zoned timestamp, so
-    the event time is cast for them.
-    """
-    timed = stream.withColumn(_TIME, F.col(event_time).cast("timestamp")).withWatermark(_TIME, delay)
-    return timed.dropDuplicatesWithinWatermark(list(key)).drop(_TIME)
-
-
 def run_available(writer, checkpoint: str) -> StreamingQuery:
-    """Run a stream writer over all that is there and wait for its end.
-
-    Late rows are not lost in silence: if the watermark dropped any, the run
-    fails and says how many.
-    """
+    """Run a stream writer over all that is there and wait for its end."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    late = sum(
-        state.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
-    if late:
-        raise LateRowsError(f"{late} rows came later than the delay allows")
     return query
 
 
@@ -107,8 +77,9 @@ def insert_stream(
 ) -> StreamingQuery:
     """Append the rows whose key the stored table lacks, however late they come.
 
-    Needs no watermark and no state beside the table itself; a repeated batch
-    adds nothing.
+    Needs no watermark and no state beside the table itself, so no row is ever
+    too late; a repeated batch adds nothing. A table partitioned by columns of
+    its key is compared in the partitions that a batch touches only.
     """
     _create(stream, spec, root)
     return run_available(
@@ -152,9 +123,7 @@ def stored_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 __all__ = [
-    "LateRowsError",
     "append_stream",
-    "drop_repeats",
     "insert_stream",
     "run_available",
     "stored_stream",

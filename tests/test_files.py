@@ -37,7 +37,7 @@ def test_csv_directory_is_one_set(spark, local, folder):
     write(local / "a/1.csv", 'artist,length,other,userId\n"Faithless, live",495.3073,x,95\n,,,\n')
     write(local / "b/2.csv", 'artist,length,other,userId\n"say ""hi""",1.5E2,,5748517.0\n')
     schema = schema_of("userId int, artist string, length double")
-    got = sources.read_csv(spark, folder, schema, escape='"')
+    got = sources.read_csv(spark, folder, schema)
     assert rows(got) == [(5748517, 'say "hi"', 150.0), (95, "Faithless, live", 495.3073), (None, None, None)]
 
 
@@ -214,7 +214,7 @@ def test_quoted_csv_round_trip(spark, folder, local):
     sinks.write_csv(df, f"{folder}/q")
     lines = "".join(p.read_text() for p in (local / "q").glob("*.csv")).splitlines()
     assert '"a ""quoted"", x","","1"' in lines and '"s","t","n"' in lines
-    back = sources.read_csv(spark, f"{folder}/q", df.schema, escape='"')
+    back = sources.read_csv(spark, f"{folder}/q", df.schema)
     assert rows(back) == [('a "quoted", x', None, 1), (None, "b", 2)]
 
 
@@ -235,8 +235,8 @@ def test_bucketed_tables_join_without_shuffle(spark, folder):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        a = catalog.write_bucketed(spark.range(500).withColumnRenamed("id", "k"), "bucket_a", f"{folder}/a", ["k"])
-        b = catalog.write_bucketed(spark.range(0, 500, 2).withColumnRenamed("id", "k"), "bucket_b", f"{folder}/b", ["k"])
+        a = catalog.write_bucketed(spark.range(500).withColumnRenamed("id", "k"), "bucket_a", f"{folder}/a", ["k"], 8)
+        b = catalog.write_bucketed(spark.range(0, 500, 2).withColumnRenamed("id", "k"), "bucket_b", f"{folder}/b", ["k"], 8)
         joined = a.join(b, "k").groupBy("k").count()
         assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
         assert joined.count() == 250
@@ -266,3 +266,20 @@ def test_shared_dir_is_the_named_one(spark):
     if named:
         assert path.startswith(named)
     assert json.dumps(path)
+
+
+def test_doubled_quotes_and_line_breaks_in_fields(spark, folder, local):
+    (local / "a.csv").write_text('k,v,n\n1,"Al ""Big"" Bo, x",2\n3,"two\nlines",4\n')
+    schema = schema_of("k int, v string, n int")
+    got = rows(sources.read_csv(spark, folder, schema, multi_line=True))
+    assert got == [(1, 'Al "Big" Bo, x', 2), (3, "two\nlines", 4)]
+
+
+@pytest.mark.parametrize("text", ["a int;b string", "a int, b strng", "a", "a decimal", "a int(3,2)", "a int,"])
+def test_a_badly_spelled_schema_is_an_error(text):
+    with pytest.raises(ValueError, match="known type"):
+        schema_of(text)
+
+
+def test_schema_text_may_be_spaced_freely():
+    assert schema_of("a int,b  string , `c d` decimal(18, 5)").fieldNames() == ["a", "b", "c d"]

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-import pytest
+from pyspark.sql import functions as F
 
 from asterloom.schemas import TableSpec, schema_of
 from asterloom.sinks.files import upsert_table, write_table
@@ -21,11 +21,15 @@ def arrive(local, name, *events):
     (local / "in" / f"{name}.json").write_text("\n".join(lines) + "\n")
 
 
-def run(spark, folder, delay="2 hours"):
+DAYS = TableSpec("days", schema_of("id bigint, level string, day date"), key=("day", "id"), partition_by=("day",))
+
+
+def run(spark, folder):
     session = ingest.stream_session(spark, 0)
     stream = ingest.stream_files(session, f"{folder}/in", SCHEMA, "json", glob="*.json", files_per_batch=1)
-    ingest.append_stream(ingest.drop_repeats(stream, ["id"], "ts", delay), f"{folder}/out", f"{folder}/state")
-    return ingest.stored_stream(spark, f"{folder}/out", SCHEMA)
+    days = stream.select("id", "level", F.col("ts").cast("date").alias("day"))
+    ingest.insert_stream(days, DAYS, folder, f"{folder}/state", ["level"])
+    return read_table(spark, DAYS, folder)
 
 
 def test_new_files_are_loaded_once_without_repeats(spark, folder, local):
@@ -37,12 +41,17 @@ def test_new_files_are_loaded_once_without_repeats(spark, folder, local):
     assert rows(run(spark, folder).select("id")) == [(1,), (2,), (3,)]
 
 
-def test_rows_beyond_the_delay_fail_the_run(spark, folder, local):
-    arrive(local, "a", (1, "2018-11-02T10:00:00", 7, "free"))
-    run(spark, folder, "1 hour")
-    arrive(local, "b", (2, "2018-11-01T10:00:00", 7, "free"))
-    with pytest.raises(ingest.LateRowsError, match="1 rows"):
-        run(spark, folder, "1 hour")
+def test_no_row_is_too_late_however_many_batches_follow(spark, folder, local):
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        arrive(local, "a", (1, "2018-11-20T10:00:00", 7, "free"))
+        arrive(local, "b", (2, "2017-01-01T10:00:00", 7, "free"))
+        for k in range(3, 7):
+            arrive(local, f"c{k}", (k, f"2018-12-0{k}T10:00:00", 7, "free"))
+        assert rows(run(spark, folder).select("id")) == [(k,) for k in range(1, 7)]
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
 
 
 USERS = TableSpec("users", schema_of("user bigint, level string"), key=("user",))
