@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .textops import each_slice, list_array
 
-SLICE = 1 << 22
-CACHED_CHUNKS = 200_000  # a worker forgets its words beyond this; results don't depend on it
+SLICE = 1 << 20
+CACHED_CHUNKS = 100_000  # a worker forgets its words beyond this; results don't depend on it
 SPLITS_ALIKE = regex.compile("[\x1c-\x1f]")  # the only characters str.split() takes for blanks and \s doesn't
 
 
