@@ -7,6 +7,7 @@ All builders take staged rows: a log of `LOG_RAW` and a catalogue of
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +16,14 @@ from ..functions.text import md5_key
 from ..functions.timeparts import calendar_columns, calendar_dim, from_epoch_millis
 from ..operators.dedup import distinct_rows, drop_full_duplicates, earliest_by_key
 from ..operators.joins import join_on, look_up_first, orphan_keys, whole_equal
-from ..operators.quality import require_rows, require_spec
+from ..operators.quality import require_no_nulls, require_rows, require_spec
 from ..operators.rows import has_key, only_page
 from ..operators.upsert import reduce_upserts
 from ..schemas import (
     ARTISTS, CATALOGUE_RAW, LOG_RAW, MUSIC_STAR, SONGPLAYS, SONGS, TIME, USERS, TableSpec,
 )
-from ..scratch import materialise
-from ..sinks.files import write_table
+from ..scratch import exists, materialise
+from ..sinks.files import insert_new, table_path, upsert_table, write_table
 from ..sources.files import read_json, read_tables
 from ..sources.staging import stage_json_files
 
@@ -53,15 +54,22 @@ def plays(log: DataFrame, page: str | None = PLAY_PAGE) -> DataFrame:
     return only_page(log, page).withColumn("start_time", from_epoch_millis("ts"))
 
 
-def users_dim(log: DataFrame, page: str | None = PLAY_PAGE) -> DataFrame:
-    """One row per user: first seen names, latest level."""
-    seen = has_key(only_page(log, page), "userId").select(
+_SEEN_ORDER = ["ts", "sessionId", "itemInSession"]
+_PLACE = ["location", "latitude", "longitude"]
+
+
+def _users_seen(log: DataFrame, page: str | None = PLAY_PAGE) -> DataFrame:
+    return has_key(only_page(log, page), "userId").select(
         F.col("userId").alias("user_id"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
         "gender", "level", "ts", "sessionId", "itemInSession",
     )
-    reduced = reduce_upserts(seen, ["user_id"], ["ts", "sessionId", "itemInSession"], ["level"])
+
+
+def users_dim(log: DataFrame, page: str | None = PLAY_PAGE) -> DataFrame:
+    """One row per user: first seen names, latest level."""
+    reduced = reduce_upserts(_users_seen(log, page), ["user_id"], _SEEN_ORDER, ["level"])
     return reduced.select(USERS.schema.fieldNames())
 
 
@@ -78,9 +86,18 @@ def songs_dim(catalogue: DataFrame) -> DataFrame:
     return earliest_by_key(songs, ["song_id"], others)
 
 
-def artists_dim(catalogue: DataFrame) -> DataFrame:
-    """One row per artist: first name, last place and coordinates, by song id."""
-    rows = has_key(catalogue, "artist_id").select(
+def songs_distinct(catalogue: DataFrame) -> DataFrame:
+    """Distinct song rows: a song told in two ways stands there twice."""
+    return distinct_rows(has_key(catalogue, "song_id"), SONGS.schema.fieldNames())
+
+
+def artists_distinct(catalogue: DataFrame) -> DataFrame:
+    """Distinct artist rows: an artist told in two ways stands there twice."""
+    return distinct_rows(_artists_seen(catalogue), ARTISTS.schema.fieldNames())
+
+
+def _artists_seen(catalogue: DataFrame) -> DataFrame:
+    return has_key(catalogue, "artist_id").select(
         "artist_id",
         F.col("artist_name").alias("name"),
         F.col("artist_location").alias("location"),
@@ -88,7 +105,11 @@ def artists_dim(catalogue: DataFrame) -> DataFrame:
         F.col("artist_longitude").alias("longitude"),
         "song_id",
     )
-    reduced = reduce_upserts(rows, ["artist_id"], ["song_id"], ["location", "latitude", "longitude"])
+
+
+def artists_dim(catalogue: DataFrame) -> DataFrame:
+    """One row per artist: first name, last place and coordinates, by song id."""
+    reduced = reduce_upserts(_artists_seen(catalogue), ["artist_id"], ["song_id"], _PLACE)
     return reduced.select(ARTISTS.schema.fieldNames())
 
 
@@ -103,6 +124,7 @@ def songplays_fact(
     match: str = "song",
     how: str = "left",
     page: str | None = PLAY_PAGE,
+    whole_seconds: bool = False,
 ) -> DataFrame:
     """Plays with the song and artist they resolve to.
 
@@ -112,11 +134,16 @@ def songplays_fact(
     - `song_whole_seconds`: the same on whole seconds, every such song
     - `title`: title and artist, every such song once
     - `artist`: artist alone, every song of theirs
+
+    With `whole_seconds` the start time loses its fraction and the key is made
+    of session and start time only, so plays of a session in one second share
+    theirs; the calendar of such a fact is `calendar_dim(fact, "start_time")`.
     """
     if match not in MATCHES:
         raise ValueError(f"match must be one of {MATCHES}, not {match!r}")
+    start = F.date_trunc("second", "start_time").cast("timestamp_ntz") if whole_seconds else F.col("start_time")
     events = plays(log, page).select(
-        "start_time", F.col("userId").alias("user_id"), "level",
+        start.alias("start_time"), F.col("userId").alias("user_id"), "level",
         F.col("sessionId").alias("session_id"), F.col("itemInSession").alias("item"),
         "location", F.col("userAgent").alias("user_agent"),
         F.col("song").alias("_song"), F.col("artist").alias("_artist"), F.col("length").alias("_length"),
@@ -142,6 +169,8 @@ def songplays_fact(
         if match == "title":
             found = found.distinct()
     parts = ["session_id", "item", "start_time"] + ([] if match == "song" else ["song_id"])
+    if whole_seconds:
+        parts = ["session_id", "start_time"]
     calendar = calendar_columns("start_time")
     return found.select(
         md5_key(parts).alias("songplay_id"),
@@ -151,16 +180,34 @@ def songplays_fact(
 
 
 def build_star(log: DataFrame, catalogue: DataFrame, match: str = "song", how: str = "left") -> dict[TableSpec, DataFrame]:
-    """All five tables, dimensions before the fact that refers to them."""
+    """All five tables, dimensions before the fact that refers to them.
+
+    The fact has every play, those without a user too; its declaration refuses
+    them when it is written.
+    """
     return {
         USERS: users_dim(log),
         SONGS: songs_dim(catalogue),
         ARTISTS: artists_dim(catalogue),
         TIME: time_dim(log),
-        SONGPLAYS: songplays_fact(has_key(log, "userId"), catalogue, match, how),
+        SONGPLAYS: songplays_fact(log, catalogue, match, how),
     }
 
 
+def fact_spec(keep_unknown_users: bool = False) -> TableSpec:
+    """The fact's declaration, with or without its refusal of plays that have no user."""
+    return replace(SONGPLAYS, not_null=("songplay_id", "start_time")) if keep_unknown_users else SONGPLAYS
+
+
+def _add_to_star(log: DataFrame, catalogue: DataFrame, fact: TableSpec, root: str, match: str, how: str) -> None:
+    """Merge one run's rows into the stored tables; the same rows again change nothing."""
+    upsert_table(_users_seen(log), USERS, root, _SEEN_ORDER, ["level"])
+    insert_new(songs_dim(catalogue), SONGS, root, ["title", "artist_id", "year", "duration"])
+    upsert_table(_artists_seen(catalogue), ARTISTS, root, ["song_id"], _PLACE)
+    insert_new(time_dim(log), TIME, root, ["start_time"])
+    insert_new(songplays_fact(log, catalogue, match, how), fact, root, ["start_time", "session_id"])
+
+
 def load_star(
     spark: SparkSession,
     log_paths: str | Sequence[str],
@@ -170,23 +217,34 @@ def load_star(
     how: str = "left",
     mapping: Mapping[str, tuple[str, str]] | None = None,
     append_fact: bool = False,
+    keep_unknown_users: bool = False,
 ) -> dict[str, DataFrame]:
     """Stage, load dimensions, load the fact, check; returns the stored tables.
 
     Both inputs are staged as Parquet once, so each load reads its own columns
-    of them instead of parsing the JSON again.
+    of them instead of parsing the JSON again. `append_fact` adds this run's
+    rows (say those of one day's path, see `render_path`) to the stored star:
+    facts and times by key, users and artists as upserts, so a load may be
+    repeated. Plays without a user are counted and refused before any table is
+    touched, or kept with `keep_unknown_users`; none is left out.
     """
     log = materialise(stage_log(spark, log_paths, mapping), "staged-log")
     catalogue = materialise(stage_catalogue(spark, catalogue_paths), "staged-catalogue")
     require_rows(log, "log")
     require_rows(catalogue, "catalogue")
-    for spec, rows in build_star(log, catalogue, match, how).items():
-        write_table(rows, spec, root, "append" if append_fact and spec is SONGPLAYS else "overwrite")
+    fact = fact_spec(keep_unknown_users)
+    if not keep_unknown_users:
+        require_no_nulls(plays(log), "plays", ["userId"])
+    if append_fact and all(exists(spark, table_path(spec, root)) for spec in MUSIC_STAR):
+        _add_to_star(log, catalogue, fact, root, match, how)
+    else:
+        for spec, rows in build_star(log, catalogue, match, how).items():
+            write_table(rows, fact if spec is SONGPLAYS else spec, root)
     stored = read_tables(spark, MUSIC_STAR, root)
     for spec in MUSIC_STAR:
         # An inner-joined fact may rightly be empty.
         if not (spec is SONGPLAYS and how == "inner" and stored[spec.name].isEmpty()):
-            require_spec(stored[spec.name], spec)
+            require_spec(stored[spec.name], fact if spec is SONGPLAYS else spec)
     return stored
 
 
@@ -202,7 +260,7 @@ def star_orphans(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 __all__ = [
-    "LOG_MAPPING", "MATCHES", "PLAY_PAGE", "artists_dim", "build_star", "load_star", "plays",
-    "songplays_fact", "songs_dim", "stage_catalogue", "stage_log", "star_orphans", "time_dim", "users_dim",
+    "LOG_MAPPING", "MATCHES", "PLAY_PAGE", "artists_dim", "artists_distinct", "build_star", "fact_spec", "load_star", "plays",
+    "songplays_fact", "songs_dim", "songs_distinct", "stage_catalogue", "stage_log", "star_orphans", "time_dim", "users_dim",
     "users_distinct",
 ]

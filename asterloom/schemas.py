@@ -53,6 +53,8 @@ class TableSpec:
     not_null: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = field(default=())
+    # Rows of one key always share a partition, though its columns aren't in the key.
+    partition_follows_key: bool = False
 
 
 # --- raw inputs (fixed values) ---------------------------------------------
@@ -98,6 +100,7 @@ SONGPLAYS = TableSpec(
     not_null=("songplay_id", "start_time", "user_id"),
     partition_by=("year", "month"),
     cluster_by=("start_time",),
+    partition_follows_key=True,
 )
 USERS = TableSpec(
     "users",
@@ -129,6 +132,7 @@ TIME = TableSpec(
     not_null=("start_time",),
     partition_by=("year", "month"),
     cluster_by=("start_time",),
+    partition_follows_key=True,
 )
 
 # --- query-shaped tables (fixed values) ------------------------------------

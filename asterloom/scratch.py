@@ -53,6 +53,11 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return files.exists(marker)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table nobody reads any more."""
     files, target = _file_system(spark, path)

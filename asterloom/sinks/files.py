@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import conform
+from ..operators.quality import require_unique
 from ..operators.upsert import insert_ignore, upsert
 from ..schemas import TableSpec
-from ..scratch import is_complete, scratch_path
+from ..scratch import discard, exists, is_complete
 from ..sources.files import read_table
 
 MODES = ("overwrite", "append")
@@ -56,12 +57,33 @@ def table_path(spec: TableSpec, root: str) -> str:
     return f"{root.rstrip('/')}/{spec.name}"
 
 
-def write_table(df: DataFrame, spec: TableSpec, root: str, mode: str = "overwrite") -> None:
+def required(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows; a NULL in a column that must not be NULL fails the job that reads them."""
+    checked = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{spec.name}.{c} must not be NULL"))) for c in spec.not_null}
+    return df.withColumns(checked) if checked else df
+
+
+def write_table(df: DataFrame, spec: TableSpec, root: str, mode: str = "overwrite", unique: bool = False) -> None:
     """Write one declared table: columns by name, cast, in declared layout.
 
-    `overwrite` empties the table first (truncate and insert), `append` adds.
+    `overwrite` empties the table first (truncate and insert), `append` adds. A
+    NULL in a required column fails the write and leaves the table as it was.
+    `unique` checks the key of the new rows beforehand; it computes them once
+    more, so give it stored ones.
     """
-    write_parquet(conform(df, spec.schema), table_path(spec, root), mode, spec.partition_by, spec.cluster_by)
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    if unique and spec.key:
+        require_unique(df, spec.name, spec.key)
+    if mode == "overwrite" and exists(df.sparkSession, table_path(spec, root)):
+        replace_table(df, spec, root)
+        return
+    finish_replacing(df.sparkSession, spec, root)
+    _store(required(conform(df, spec.schema), spec), spec, root, mode)
+
+
+def _store(rows: DataFrame, spec: TableSpec, root: str, mode: str = "overwrite") -> None:
+    write_parquet(rows, table_path(spec, root), mode, spec.partition_by, spec.cluster_by)
 
 
 def insert_positional(df: DataFrame, columns: Sequence[str], spec: TableSpec, root: str, mode: str = "append") -> None:
@@ -88,29 +110,55 @@ def load_table(
     write_table(rows, spec, root, "overwrite" if truncate else "append")
 
 
-def replace_table(rows: DataFrame, spec: TableSpec, root: str, staged: str | None = None, touched_only: bool = False) -> None:
-    """Overwrite a table by rows computed from that same table.
+def _pending(spec: TableSpec, root: str, touched_only: bool) -> str:
+    return f"{root.rstrip('/')}/_pending-{'parts' if touched_only else 'whole'}-{spec.name}"
 
-    The rows are stored first: reading and overwriting one path in one job
-    would delete the input. With a `staged` path a repeat after a failure uses
-    the rows stored there, if their write was completed, and does not read the
-    half-written table again. `touched_only` replaces the partitions that
-    `rows` have and leaves the others.
-    """
-    spark = rows.sparkSession
-    staged = staged or scratch_path(spark, spec.name)
-    if not is_complete(spark, staged):
-        conform(rows, spec.schema).write.mode("overwrite").parquet(staged)
+
+def _replace_by(spark: SparkSession, staged: str, spec: TableSpec, root: str, touched_only: bool) -> None:
     stored = spark.read.schema(spec.schema).parquet(staged)
     if not touched_only:
-        write_table(stored, spec, root)
+        _store(stored, spec, root)
         return
     writer = lay_out(stored, spec.partition_by, spec.cluster_by).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by).parquet(table_path(spec, root))
 
 
+def finish_replacing(spark: SparkSession, spec: TableSpec, root: str) -> None:
+    """Bring a replacement to its end that a lost run left half way.
+
+    Its rows are whole beside the table; every load calls this first.
+    """
+    for touched_only in (False, True):
+        staged = _pending(spec, root, touched_only)
+        if is_complete(spark, staged):
+            _replace_by(spark, staged, spec, root, touched_only)
+            discard(spark, staged)
+
+
+def replace_table(rows: DataFrame, spec: TableSpec, root: str, staged: str | None = None, touched_only: bool = False) -> None:
+    """Overwrite a table, also by rows computed from that same table.
+
+    The rows are stored beside the table first: until that write is complete
+    the table is untouched, and after it a lost run is finished by the next
+    load (`finish_replacing`). A caller that repeats lost work itself names
+    the `staged` path; rows found whole there are used and not computed again.
+    `touched_only` replaces the partitions that `rows` have and leaves the
+    others.
+    """
+    spark = rows.sparkSession
+    own = staged is None
+    if own:
+        finish_replacing(spark, spec, root)
+        staged = _pending(spec, root, touched_only)
+    if not is_complete(spark, staged):
+        required(conform(rows, spec.schema), spec).write.mode("overwrite").parquet(staged)
+    _replace_by(spark, staged, spec, root, touched_only)
+    if own:
+        discard(spark, staged)
+
+
 def _keyed_by_partition(spec: TableSpec) -> bool:
-    return bool(spec.partition_by) and set(spec.partition_by) <= set(spec.key)
+    return bool(spec.partition_by) and (spec.partition_follows_key or set(spec.partition_by) <= set(spec.key))
 
 
 def touched_rows(updates: DataFrame, spec: TableSpec, root: str) -> DataFrame:
@@ -120,6 +168,7 @@ def touched_rows(updates: DataFrame, spec: TableSpec, root: str) -> DataFrame:
     is a plain equality, by which Spark leaves other partitions unread; only
     updates with a NULL partition value take a null-safe one.
     """
+    finish_replacing(updates.sparkSession, spec, root)
     target = read_table(updates.sparkSession, spec, root)
     if not _keyed_by_partition(spec):
         return target
@@ -155,8 +204,8 @@ def insert_new(updates: DataFrame, spec: TableSpec, root: str, order_by: Sequenc
     """Append the rows whose key the stored table lacks; never rewrites it.
 
     Where the table is partitioned by columns of its key, only the partitions
-    that the batch touches are compared with. The files to compare with are listed before the write, so appending to the
-    table that is read is safe.
+    that the batch touches are compared with. The files to compare with are
+    listed before the write, so appending to the table that is read is safe.
     """
     target = touched_rows(updates, spec, root)
     write_table(insert_ignore(target, updates, spec.key, order_by), spec, root, "append")

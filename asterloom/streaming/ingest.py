@@ -14,9 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.casts import conform
 from ..schemas import TableSpec
-from ..scratch import discard
+from ..scratch import discard, exists
 from ..session import shuffle_partitions
-from ..sinks.files import insert_new, upsert_table, write_table
+from ..sinks.files import insert_new, table_path, upsert_table, write_table
 from ..sources.files import as_text
 
 def stream_session(spark: SparkSession, input_bytes: int) -> SparkSession:
@@ -89,7 +89,8 @@ def insert_stream(
 
 def _create(stream: DataFrame, spec: TableSpec, root: str) -> None:
     """Make sure the table is there to be read; adds no rows."""
-    write_table(stream.sparkSession.createDataFrame([], spec.schema), spec, root, "append")
+    if not exists(stream.sparkSession, table_path(spec, root)):
+        write_table(stream.sparkSession.createDataFrame([], spec.schema), spec, root)
 
 
 def upsert_stream(
@@ -114,7 +115,9 @@ def upsert_stream(
         upsert_table(prepare(batch), spec, root, order_by, update, f"{checkpoint}/merged/{batch_id}")
         discard(batch.sparkSession, f"{checkpoint}/merged/{batch_id - 1}")
 
-    return run_available(stream.writeStream.foreachBatch(load), checkpoint)
+    query = run_available(stream.writeStream.foreachBatch(load), checkpoint)
+    discard(stream.sparkSession, f"{checkpoint}/merged")
+    return query
 
 
 def stored_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

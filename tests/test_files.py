@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asterloom import scratch
+from asterloom.operators.quality import QualityError
 from asterloom.schemas import LOG_RAW, TableSpec, schema_of
 from asterloom.session import estimated_bytes
 from asterloom.sinks import catalog, files as sinks
@@ -283,3 +284,41 @@ def test_a_badly_spelled_schema_is_an_error(text):
 
 def test_schema_text_may_be_spaced_freely():
     assert schema_of("a int,b  string , `c d` decimal(18, 5)").fieldNames() == ["a", "b", "c d"]
+
+
+_GUARDED = TableSpec("guarded", schema_of("k int, v string"), key=("k",), not_null=("k",))
+
+
+def _guarded(spark, *values):
+    return spark.createDataFrame(list(values), _GUARDED.schema)
+
+
+@pytest.mark.parametrize("mode", ["overwrite", "append"])
+def test_null_in_a_required_column_leaves_the_table(spark, folder, mode):
+    sinks.write_table(_guarded(spark, (1, "a")), _GUARDED, folder)
+    with pytest.raises(Exception, match="guarded.k must not be NULL"):
+        sinks.write_table(_guarded(spark, (2, "b"), (None, "c")), _GUARDED, folder, mode)
+    assert rows(sources.read_table(spark, _GUARDED, folder)) == [(1, "a")]
+
+
+def test_repeated_key_is_refused_on_request(spark, folder):
+    sinks.write_table(_guarded(spark, (1, "a")), _GUARDED, folder, unique=True)
+    with pytest.raises(QualityError, match="rows with the same"):
+        sinks.write_table(_guarded(spark, (2, "b"), (2, "c")), _GUARDED, folder, unique=True)
+    assert rows(sources.read_table(spark, _GUARDED, folder)) == [(1, "a")]
+
+
+def test_an_upsert_lost_half_way_is_finished_by_the_next_load(spark, folder, monkeypatch):
+    sinks.write_table(_guarded(spark, (1, "a"), (2, "b")), _GUARDED, folder)
+
+    def lost(stored, spec, root, mode="overwrite"):
+        spark.createDataFrame([], spec.schema).write.mode("overwrite").parquet(sinks.table_path(spec, root))
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_store", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            sinks.upsert_table(_guarded(spark, (2, "B"), (3, "c")), _GUARDED, folder, ["v"], ["v"])
+    assert sources.read_table(spark, _GUARDED, folder).isEmpty()
+    sinks.upsert_table(_guarded(spark, (4, "d")), _GUARDED, folder, ["v"], ["v"])
+    assert rows(sources.read_table(spark, _GUARDED, folder)) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
