@@ -21,7 +21,7 @@ TYPES = {
 }
 
 # Joins without a key, and rows handed to Python.
-UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="the given tables are not here")
 
