@@ -37,13 +37,22 @@ LOG_MAPPING: Mapping[str, tuple[str, str]] = {
 MATCHES = ("song", "song_whole_seconds", "title", "artist")
 
 
-def stage_log(spark: SparkSession, paths: str | Sequence[str], mapping: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
-    """The log, by name or through a mapping, without exact repeats."""
+def stage_log(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    mapping: Mapping[str, tuple[str, str]] | None = None,
+    page: str | None = None,
+) -> DataFrame:
+    """The log, by name or through a mapping, without exact repeats.
+
+    Rows of other pages than `page` go before the rows are shuffled to find
+    the repeats.
+    """
     if mapping is None:
         raw = read_json(spark, paths, LOG_RAW, recursive=True)
     else:
         raw = stage_json_files(spark, paths, mapping, recursive=True)
-    return drop_full_duplicates(raw)
+    return drop_full_duplicates(only_page(raw, page))
 
 
 def stage_catalogue(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -228,7 +237,7 @@ def load_star(
     repeated. Plays without a user are counted and refused before any table is
     touched, or kept with `keep_unknown_users`; none is left out.
     """
-    log = materialise(stage_log(spark, log_paths, mapping), "staged-log")
+    log = materialise(stage_log(spark, log_paths, mapping, PLAY_PAGE), "staged-log")
     catalogue = materialise(stage_catalogue(spark, catalogue_paths), "staged-catalogue")
     require_rows(log, "log")
     require_rows(catalogue, "catalogue")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import to_epoch_millis
-from ..operators.rows import only_page
 from ..plans import arrivals, music
 from ..schemas import ARTISTS, DIM_POPULATION, SONGS, TIME, USERS
 from ..scratch import materialise, scratch_path
@@ -22,10 +21,10 @@ def _stored(t, spec, rows):
 
 
 def _staged_log(t):
-    """The log through raw JSON files; pages other than plays go before the dedup."""
+    """The log through raw JSON files."""
     root = scratch_path(t.spark, "raw-log")
-    only_page(_log(t), music.PLAY_PAGE).write.json(root)
-    return materialise(music.stage_log(t.spark, root), "staged-log")
+    _log(t).write.json(root)
+    return materialise(music.stage_log(t.spark, root, page=music.PLAY_PAGE), "staged-log")
 
 
 def _staged_catalogue(t):
@@ -103,7 +102,7 @@ def artists_distinct(t):
 def star_reload(t):
     """The whole star loaded twice from raw files, with its checks: the second load adds nothing."""
     root = scratch_path(t.spark, "reload-star")
-    only_page(_log(t), music.PLAY_PAGE).write.json(f"{root}/raw/log")
+    _log(t).write.json(f"{root}/raw/log")
     _catalogue(t).write.json(f"{root}/raw/catalogue")
     for _ in range(2):
         star = music.load_star(t.spark, f"{root}/raw/log", f"{root}/raw/catalogue", f"{root}/star", append_fact=True)

@@ -9,6 +9,7 @@ from ..functions.timeparts import to_epoch_millis
 from ..operators.dedup import drop_full_duplicates
 from ..operators.joins import songs_with_artists
 from ..operators.quality import row_counts
+from ..operators.rows import only_page
 from ..plans import arrivals, music, sessions
 from ..schemas import CATALOGUE_RAW, DIM_STATISTICS, FACT_IMMI, LOG_RAW, SONGPLAYS, USER_SESSIONS
 from ..scratch import materialise, scratch_path
@@ -97,7 +98,7 @@ def log_star(t):
     root = scratch_path(t.spark, "log-star")
     _catalogue(t).write.json(f"{root}/raw/catalogue")
     _log(t).write.json(f"{root}/raw/log")
-    log = music.stage_log(t.spark, f"{root}/raw/log")
+    log = music.stage_log(t.spark, f"{root}/raw/log", page=music.PLAY_PAGE)
     fact = music.songplays_fact(log, music.stage_catalogue(t.spark, f"{root}/raw/catalogue"))
     write_table(fact, SONGPLAYS, root)
     return read_table(t.spark, SONGPLAYS, root).drop("songplay_id")
@@ -111,8 +112,9 @@ def log_star(t):
 def warehouse_star(t):
     """Log lines staged through the mapping, inner join on title and artist, distinct."""
     lines = _log(t).select(F.to_json(F.struct("*")).alias("value"))
-    # Repeated lines go before they are parsed.
-    log = materialise(stage_json(drop_full_duplicates(lines), "value", music.LOG_MAPPING), "staged-log")
+    # Other pages go before repeats are looked for.
+    plays = only_page(stage_json(lines, "value", music.LOG_MAPPING), music.PLAY_PAGE)
+    log = materialise(drop_full_duplicates(plays), "staged-log")
     # Carried through as the agent, to be told apart in the result.
     log = log.withColumn("userAgent", F.col("itemInSession").cast("string"))
     fact = music.songplays_fact(log, _catalogue(t), match="title", how="inner")
@@ -132,7 +134,7 @@ def warehouse_star(t):
 def staged_star(t):
     """Stage, dimensions, fact, in load order; rows per loaded table."""
     root = scratch_path(t.spark, "staged-star")
-    log = materialise(drop_full_duplicates(conform(_log(t), LOG_RAW)), "staged-log")
+    log = materialise(drop_full_duplicates(conform(only_page(_log(t), music.PLAY_PAGE), LOG_RAW)), "staged-log")
     catalogue = materialise(conform(_catalogue(t), CATALOGUE_RAW), "staged-catalogue")
     for spec, rows in music.build_star(log, catalogue).items():
         write_table(rows, spec, root)
