@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialise
 from .components import components
-from .textops import U, Words, distinct_per_text, each_slice, id_text, list_array, mix
+from .textops import U, Words, distinct_per_text, each_slice, id_text, list_array, mix, with_end
 
 SLOTS = 389  # prime; the first ones make the bands, all of them the sketch
 ROWS = 4  # slots per band
@@ -136,7 +136,7 @@ def _cross_batches(least: float, similarity: float):
 
     def run(batches):
         rest = None
-        for batch in _with_end(batches):
+        for batch in with_end(batches):
             table = [x for x in (rest, batch) if x is not None]
             if not table:
                 return
@@ -159,12 +159,6 @@ def _cross_batches(least: float, similarity: float):
     return run
 
 
-def _with_end(batches):
-    """The batches, then None."""
-    yield from batches
-    yield None
-
-
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
     wanted = pairs.select("node").union(pairs.select("near")).distinct().withColumnRenamed("node", "doc_id")

@@ -92,6 +92,12 @@ def each_slice(batches, size: int = SLICE_BYTES):
             yield batch, first, last, data[part[0] : part[-1]], part - part[0]
 
 
+def with_end(batches):
+    """The batches, then None."""
+    yield from batches
+    yield None
+
+
 class Words:
     """The words of a slice: text number, start, stop (bytes) and 64-bit hash.
 

@@ -169,6 +169,30 @@ def test_repeated_passages_are_found(docs, documents, nothing):
     assert passages.near_passages(nothing).count() == 0
 
 
+def numbered(rng, n):
+    return [f"w{k}" for k in rng.integers(0, 10**9, n)]
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_passages_behind_a_stock_line_are_found(spark, monkeypatch, block):
+    """The earliest document has a stock line alone, two later ones the whole passage."""
+    monkeypatch.setattr(passages, "BLOCK", block, raising=False)
+    rng = np.random.default_rng(3)
+    rows, whole = [], {}
+    for case in range(40):
+        stock = numbered(rng, 45)
+        passage = numbered(rng, 7) + stock + numbered(rng, 8)
+        for k, part in enumerate((stock, passage, passage)):
+            before = numbered(rng, 80)
+            rows.append((3 * case + k, " ".join(before + part + numbered(rng, 80))))
+            whole[3 * case + k] = set(range(80, 80 + len(part)))
+    marked = collections.defaultdict(set)
+    for r in passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        marked[r.doc_id] |= set(range(r.first_word, r.first_word + r.n_words))
+    assert all(whole[3 * case + 2] <= marked[3 * case + 2] for case in range(40))
+    assert not any(marked[3 * case + k] for case in range(40) for k in (0, 1))
+
+
 def test_cut_passages_leave_the_rest(spark, documents):
     rows = [(i, t, lang) for i, t, lang in documents]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
