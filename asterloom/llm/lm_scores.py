@@ -4,6 +4,10 @@ Two word-bigram models, one of target text and one of all text, share one
 vocabulary and one smoothing; a document's score is its mean loss per token
 under the target model less that under the background model, the document's own
 counts taken out of both. Lower is more like the target.
+
+All words and all bigrams are counted, in a table keyed by n-gram. A document's
+n-grams are joined with it; frequent ones, which would make hot keys, are looked
+up in a copy of bounded size that every task has.
 """
 
 from __future__ import annotations
@@ -16,116 +20,163 @@ from pyspark.sql import functions as F
 from ..scratch import materialise
 from .textops import U, Words, each_slice, mix
 
-COMMON, CLASSES = 1792, 256  # most frequent words, and hash classes for all others
-VOCABULARY = COMMON + CLASSES
-PAIRS = VOCABULARY * VOCABULARY
 STRENGTH = 50.0  # unigram counts worth this many tokens are added to each context
+CACHED = 1 << 19  # n-grams at most that go to every task
+HELD = 1 << 20  # distinct n-grams that a task holds before it sends their sums on
+START = U(0x5851F42D4C957F2D)  # stands before the first word of a text
+SUMS = ("target", "background", "target_after", "background_after", "texts")
+MISSING = ("a_t", "a_b", "c_t", "c_b")
 
 
-def _word_batches(batches):
-    """(word, n): distinct words of a task by hash, with their counts."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def word_keys(words: np.ndarray) -> np.ndarray:
+    return mix(words, 61)
 
-    def merged():
-        words, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        return words, np.bincount(at, np.concatenate([h[1] for h in held])).astype(np.int64)
 
-    for _, _, _, data, offsets in each_slice(batches):
-        words, counts = np.unique(Words(data, offsets).hash, return_counts=True)
-        held.append((words, counts))
-        if len(held) == 16:
-            held = [merged()]
-    if held:
-        words, counts = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
+def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(mix(before, 62) + words, 63)
 
 
-def token_ids(words: Words, common: np.ndarray) -> np.ndarray:
-    """The vocabulary's number of each word; `common` are sorted word hashes."""
-    if not len(common):
-        return COMMON + (words.hash % U(CLASSES)).astype(np.int64)
-    at = np.minimum(np.searchsorted(common, words.hash), len(common) - 1)
-    return np.where(common[at] == words.hash, at, COMMON + (mix(words.hash, 7) % U(CLASSES)).astype(np.int64))
+def _counted(text: np.ndarray, values: np.ndarray, *also: np.ndarray):
+    """Distinct (text, value) with one sum for each of `also`, and for every element its row there."""
+    order = np.lexsort((values, text))
+    t, v = text[order], values[order]
+    new = np.ones(len(t), bool)
+    new[1:] = (t[1:] != t[:-1]) | (v[1:] != v[:-1])
+    at = np.flatnonzero(new)
+    row = np.empty(len(t), np.int64)
+    row[order] = np.cumsum(new) - 1
+    return t[at], v[at], [np.bincount(row, x, minlength=len(at)).astype(np.int64) for x in also], row, order[at]
 
 
-def _pairs(words: Words, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bigram keys and their texts; the first word follows the last class, as a start."""
-    ids = token_ids(words, common)
-    before = np.full(len(ids), VOCABULARY - 1, np.int64)
-    before[1:] = np.where(words.text[1:] == words.text[:-1], ids[:-1], VOCABULARY - 1)
-    return before * VOCABULARY + ids, words.text
+def text_ngrams(words: Words) -> tuple:
+    """Distinct words and bigrams of every text.
+
+    Words: text, word, count as a word, count as what another word follows.
+    Bigrams: text, key, count, word, and the word's row among the former.
+    """
+    n, first = len(words.hash), words.first[words.counts > 0]
+    before = np.empty(n, U)
+    before[1:] = words.hash[:-1]
+    before[first] = START
+    text, word, (own, after), row, _ = _counted(
+        np.concatenate([words.text, words.text]), np.concatenate([words.hash, before]), np.repeat([1, 0], n), np.repeat([0, 1], n))
+    p_text, pair, (count,), _, at = _counted(words.text, pair_keys(before, words.hash), np.ones(n, np.int64))
+    return (text, word, own, after), (p_text, pair, count, words.hash[at], row[at])
+
+
+def _summed(held: list[tuple]) -> tuple:
+    key, at, row = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
+    word, is_pair = (np.concatenate([h[k] for h in held])[at] for k in (1, 2))
+    return key, word, is_pair, *(
+        np.bincount(row, np.concatenate([h[3 + k] for h in held]), minlength=len(key)).astype(np.int64) for k in range(len(SUMS)))
+
+
+def _count_batches(batches):
+    """Words and bigrams with their counts, summed within the task."""
+    def sent(rows: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows[0].view(np.int64)), pa.array(rows[1].view(np.int64)), *(pa.array(x) for x in rows[2:])],
+            ["key", "word", "is_pair", *SUMS])
+
+    held: list[tuple] = []
+    for batch, first, last, data, offsets in each_slice(batches):
+        (text, word, own, after), (p_text, pair, count, p_word, _) = text_ngrams(Words(data, offsets))
+        target = np.asarray(batch.column("target").slice(first, last - first).to_pylist(), np.int64)
+        zero = np.zeros(len(pair), np.int64)
+        held.append(_summed([
+            (word_keys(word), word, np.zeros(len(word), bool), own * target[text], own, after * target[text], after, np.ones(len(word), np.int64)),
+            (pair, p_word, np.ones(len(pair), bool), count * target[p_text], count, zero, zero, np.ones(len(pair), np.int64))]))
+        if len(held) == 8:
+            held = [_summed(held)]
+            if len(held[0][0]) > HELD:
+                yield sent(held.pop())
+    if held:
+        yield sent(_summed(held))
 
 
-def _bigram_batches(common: np.ndarray):
-    def run(batches):
-        """(pair, target, background), summed within the task."""
-        total = np.zeros((2, PAIRS), np.int32)
-        for batch, first, last, data, offsets in each_slice(batches, 1 << 22):
-            pairs, text = _pairs(Words(data, offsets), common)
-            target = np.asarray(batch.column("target").slice(first, last - first).to_pylist(), bool)
-            total[1] += np.bincount(pairs, minlength=PAIRS).astype(np.int32)
-            total[0] += np.bincount(pairs[target[text]], minlength=PAIRS).astype(np.int32)
-        seen = np.flatnonzero(total[1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen.astype(np.int32)), *(pa.array(total[k][seen].astype(np.int64)) for k in (0, 1))],
-            ["pair", "target", "background"])
-    return run
+class Frequent:
+    """The n-grams that every task looks up itself, and the models' totals."""
 
+    def __init__(self, rows: pa.Table, totals: tuple[float, float, float]):
+        key = rows.column("key").to_numpy().astype(np.int64).view(U)
+        order = np.argsort(key)
+        self.key, self.totals = key[order], totals
+        self.counts = [rows.column(n).to_numpy().astype(np.int64)[order] for n in MISSING]
 
-class Models:
-    """Both models' counts; the tables are built once in each worker."""
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        if not len(self.key):
+            return np.zeros(len(keys), bool), [np.zeros(len(keys), np.int64) for _ in self.counts]
+        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+        return self.key[at] == keys, [x[at] for x in self.counts]
 
-    def __init__(self, common: np.ndarray, pair: np.ndarray, target: np.ndarray, background: np.ndarray):
-        self.common, self.pair, self.counts = common, pair, (target, background)
-        self.name = hash((len(pair), int(target.sum()), int(background.sum()), int(pair.astype(np.int64).sum())))
 
-    def tables(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(pair counts, context counts, smoothed word shares) of target and background."""
-        if _tables.get("name") != self.name:
-            built = []
-            for counts in self.counts:
-                full = np.zeros(PAIRS, np.float32)
-                full[self.pair] = counts
-                square = full.reshape(VOCABULARY, VOCABULARY)
-                single = square.sum(axis=0, dtype=np.float64) + 0.5
-                built.append((full, square.sum(axis=1, dtype=np.float64), single / single.sum()))
-            _tables.update(name=self.name, tables=built)
-        return _tables["tables"]
+def shares(target, background, own, tokens, inside, totals):
+    """Both models' smoothed shares of a word without the document's own counts."""
+    t_total, b_total, size = totals
+    return ((target - own * inside + 0.5) / (t_total - tokens * inside + 0.5 * size),
+            (background - own + 0.5) / (b_total - tokens + 0.5 * size))
 
 
-_tables: dict = {}
+def word_loss(counts: list, own, after, tokens, inside, totals):
+    """What a word adds to a text's loss: its share for each time it stands there, its total for each that follows it."""
+    t, b, t_after, b_after = counts
+    t_share, b_share = shares(t, b, own, tokens, inside, totals)
+    return own * np.log(b_share / t_share) + after * np.log(
+        (t_after - after * inside + STRENGTH) / (b_after - after + STRENGTH))
 
 
-def token_losses(models: Models, pairs: np.ndarray, text: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Each token's loss under the target model less that under the background.
+def pair_loss(counts: list, count, own, tokens, inside, totals):
+    """What a bigram that other texts have too changes in it."""
+    t, b, t_word, b_word = counts
+    t_share, b_share = shares(t_word, b_word, own, tokens, inside, totals)
+    return count * (np.log1p((b - count) / (STRENGTH * b_share)) - np.log1p((t - count * inside) / (STRENGTH * t_share)))
 
-    A document's own counts are taken out of the models that were trained on
-    it, so that documents in and outside the target are treated alike.
-    """
-    _, at, own = np.unique(text * PAIRS + pairs, return_inverse=True, return_counts=True)
-    own_pair = own[at]
-    context, word = pairs // VOCABULARY, pairs % VOCABULARY
-    _, at, own = np.unique(text * VOCABULARY + context, return_inverse=True, return_counts=True)
-    own_context = own[at]
-    loss = np.zeros(len(pairs))
-    for (full, contexts, single), sign, inside in zip(models.tables(), (-1, 1), (target[text], 1), strict=True):
-        seen = full[pairs] - own_pair * inside + STRENGTH * single[word]
-        loss += sign * np.log(seen / (contexts[context] - own_context * inside + STRENGTH))
-    return loss
-
-
-def _score_batches(shared):
+
+NGRAM = "row long, key long, kind int, n int, own int, tokens int, inside int, loss double"
+
+
+def _ngram_batches(shared):
     def run(batches):
+        """A row for each text with the loss of its frequent n-grams; a row for each of its others."""
+        frequent = shared.value
         for batch, first, last, data, offsets in each_slice(batches):
-            pairs, text = _pairs(Words(data, offsets), shared.value.common)
-            n = last - first
-            target = np.asarray(batch.column("target").slice(first, n).to_pylist(), bool)
-            total = np.bincount(text, token_losses(shared.value, pairs, text, target), minlength=n)
-            counts = np.bincount(text, minlength=n)
-            score = np.where(counts > 0, total / np.maximum(counts, 1), 0.0)
+            words, n = Words(data, offsets), last - first
+            (text, word, own, after), (p_text, pair, count, _, at) = text_ngrams(words)
+            inside = np.asarray(batch.column("target").slice(first, n).to_pylist(), np.int64)
+            row = np.asarray(batch.column("row"))[first:last]
+            tokens, key = words.counts.astype(np.int64), word_keys(word)
+            known, found = frequent.find(key)
+            p_known, p_found = frequent.find(pair)
+            w, p, k = known, p_known, text[known]
+            loss = np.bincount(k, word_loss([x[w] for x in found], own[w], after[w], tokens[k], inside[k], frequent.totals), minlength=n)
+            k = p_text[p]
+            loss += np.bincount(k, pair_loss([x[p] for x in p_found], count[p], own[at[p]], tokens[k], inside[k], frequent.totals), minlength=n)
+            w, p = ~known, ~p_known
+            texts = np.concatenate([np.arange(n), text[w], p_text[p]])
+            kind = np.repeat([0, 1, 2], [n, w.sum(), p.sum()])
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").slice(first, n), pa.array(counts.astype(np.int64)),
-                pa.array(score, mask=counts == 0)], ["doc_id", "n_tokens", "score"])
+                pa.array(row[texts]), pa.array(np.concatenate([row, key[w].view(np.int64), pair[p].view(np.int64)])),
+                *(pa.array(x.astype(np.int32)) for x in (
+                    kind, np.concatenate([np.ones(n), after[w], count[p]]), np.concatenate([np.zeros(n), own[w], own[at[p]]]),
+                    tokens[texts], inside[texts])),
+                pa.array(np.concatenate([loss, np.zeros(len(texts) - n)]))], [x.split()[0] for x in NGRAM.split(", ")])
+    return run
+
+
+def _loss_batches(totals: tuple):
+    def run(batches):
+        """(row, loss, copies, tokens) of the joined rows."""
+        for batch in batches:
+            c = {n: np.asarray(batch.column(n)) for n in ("row", "kind", "n", "own", "tokens", "inside", "loss", *MISSING)}
+            loss = c["loss"].copy()
+            for kind, of in ((1, lambda x, k: word_loss(x, c["own"][k], c["n"][k], c["tokens"][k], c["inside"][k], totals)),
+                             (2, lambda x, k: pair_loss(x, c["n"][k], c["own"][k], c["tokens"][k], c["inside"][k], totals))):
+                k = np.flatnonzero(c["kind"] == kind)
+                loss[k] = of([c[n][k] for n in MISSING], k)
+            copies = c["kind"] == 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c["row"]), pa.array(loss), pa.array(copies.astype(np.int64)), pa.array(np.where(copies, c["tokens"], 0).astype(np.int64))],
+                ["row", "loss", "copies", "tokens"])
     return run
 
 
@@ -133,10 +184,10 @@ def score_difference(df: DataFrame, target_ids: DataFrame, id_col: str = "doc_id
     """doc_id, n_tokens, score: one row per input row.
 
     `target_ids` (doc_id) names the target texts; the background is every row.
-    The vocabulary is the COMMON most frequent words of all texts (ties by
-    hash) plus CLASSES hash classes, so both models see the same tokens. Word
-    and pair counts cover all texts; the vocabulary and the pair table are
-    bounded by their sizes and go to every task.
+    Every word and every bigram counts, by 64-bit hash. Bigrams that one text
+    alone has are nothing once its own counts are out, so they aren't kept. The
+    CACHED most frequent n-grams at most go to every task, which spares their
+    rows in the join and changes no score.
 
     Texts that are null, empty or without words have no tokens and a null
     score. Without target texts the target model is the smoothing alone. Null
@@ -145,15 +196,38 @@ def score_difference(df: DataFrame, target_ids: DataFrame, id_col: str = "doc_id
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     spark = df.sparkSession
-    words = docs.select("text").mapInArrow(_word_batches, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = words.orderBy(F.desc("n"), "word").limit(COMMON).toArrow()
-    common = np.sort(top.column("word").to_numpy().astype(np.int64).view(U))
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(True))
+    # Rows of one id and text have one score, so they may share a number.
     marked = docs.join(chosen, "doc_id", "left").select(
-        "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
-    counts = marked.select("text", "target").mapInArrow(_bigram_batches(common), "pair int, target long, background long")
-    counts = counts.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-    got = materialise(counts, "bigrams").toArrow()
-    model = Models(common, *(got.column(c).to_numpy() for c in ("pair", "target", "background")))
-    shared = spark.sparkContext.broadcast(model)
-    return marked.mapInArrow(_score_batches(shared), "doc_id long, n_tokens long, score double")
+        "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"),
+        F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text").alias("row"))
+    kinds = "key long, word long, is_pair boolean, " + ", ".join(f"{n} long" for n in SUMS)
+    counts = marked.select("text", "target").mapInArrow(_count_batches, kinds)
+    counts = counts.groupBy("key", "word", "is_pair").agg(*(F.sum(n).alias(n) for n in SUMS))
+    counts = materialise(counts.filter("not is_pair or texts > 1"), "counts")
+    words = counts.filter("not is_pair")
+    totals = tuple(float(x or 0) for x in words.agg(F.sum("target"), F.sum("background"), F.count("*")).first())
+    of_word = words.select("word", F.col("target").alias("c_t"), F.col("background").alias("c_b"))
+    table = counts.filter("is_pair").join(of_word, "word").select(
+        "key", F.col("target").alias("a_t"), F.col("background").alias("a_b"), "c_t", "c_b", "texts")
+    table = materialise(table.union(words.select(
+        "key", "target", "background", F.col("target_after"), F.col("background_after"), "texts")), "ngrams")
+    # The least count of texts, in steps of a tenth, from which n-grams are few enough.
+    step = F.floor(F.log(F.col("texts").cast("double")) * 10)
+    least, n = None, 0
+    for at, members in sorted(table.groupBy(step.alias("at")).count().collect(), reverse=True):
+        n += members
+        if n > CACHED:
+            break
+        least = at
+    frequent = table.filter(step >= least) if least is not None else table.limit(0)
+    shared = spark.sparkContext.broadcast(Frequent(frequent.select("key", *MISSING).toArrow(), totals))
+    rest = marked.select("row", "text", "target").mapInArrow(_ngram_batches(shared), NGRAM)
+    joined = rest.join(table.select("key", *MISSING), "key", "left").filter("kind = 0 or a_b is not null")
+    joined = joined.select("row", "kind", "n", "own", "tokens", "inside", "loss", *(F.coalesce(c, F.lit(0)).alias(c) for c in MISSING))
+    found = joined.mapInArrow(_loss_batches(totals), "row long, loss double, copies long, tokens long").groupBy("row").agg(
+        F.sum("loss").alias("loss"), F.sum("copies").alias("copies"), F.sum("tokens").alias("tokens"))
+    # The text stays behind: only ids and numbers are joined with the sums.
+    return marked.select("doc_id", "row").join(found, "row").select(
+        "doc_id", (F.col("tokens") / F.col("copies")).cast("long").alias("n_tokens"),
+        F.when(F.col("tokens") > 0, F.col("loss") / F.col("tokens")).alias("score"))

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from asterloom.llm import bpe, charmodel, components, decontam, exact_substrings, html_text, langid, near_dups, passages, topk
+from asterloom.llm import bpe, charmodel, components, decontam, exact_substrings, html_text, langid, lm_scores, near_dups, passages, topk
 from asterloom.llm.lm_scores import score_difference
 from asterloom.llm.quality import score_quality
 from asterloom.llm.textops import Words
@@ -280,6 +280,38 @@ def test_lm_scores_prefer_the_target(spark, docs, documents, nothing):
     assert score_difference(nothing, target).count() == 0
 
 
+@pytest.mark.parametrize("cached", [0, 30, 1 << 19])
+def test_lm_scores_are_those_of_all_words(spark, documents, monkeypatch, cached):
+    monkeypatch.setattr(lm_scores, "CACHED", cached, raising=False)
+    rows = [(i, t) for i, t, _ in documents[:60] + documents[-12:]]
+    wanted = {i for i, _ in rows if i is not None and i % 2}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.defaultdict(set)
+    for r in score_difference(df, spark.createDataFrame([(i,) for i in wanted], "doc_id long")).collect():
+        got[r.doc_id].add((r.n_tokens, None if r.score is None else round(r.score, 6)))
+    grams = [(i, words(t), list(zip([None, *words(t)], words(t)))) for i, t in rows]
+    vocabulary = {None, *(w for _, own, _ in grams for w in own)}
+    sums = []
+    for inside in (wanted, None):
+        part = [g for g in grams if inside is None or g[0] in inside]
+        sums.append([collections.Counter(x for g in part for x in f(g)) for f in (
+            lambda g: g[1], lambda g: g[2], lambda g: [a for a, _ in g[2]])])
+    expected = collections.defaultdict(set)
+    for i, own, pairs in grams:
+        losses, mine = [], [collections.Counter(x) for x in (own, pairs, [a for a, _ in pairs])]
+        for (single, double, context), inside in zip(sums, (i in wanted, True)):
+            left = lambda c, m, x: c[x] - m[x] * inside  # noqa: B023, E731
+            total = sum(single.values()) - len(own) * inside + 0.5 * len(vocabulary)
+            losses.append(-sum(np.log((left(double, mine[1], (a, w)) + 50 * (left(single, mine[0], w) + 0.5) / total)
+                                      / (left(context, mine[2], a) + 50)) for a, w in pairs))
+        expected[i].add((len(own), round((losses[0] - losses[1]) / len(own), 6) if own else None))
+    assert got.keys() == expected.keys()
+    for i in got:
+        near = sorted(got[i], key=str), sorted(expected[i], key=str)
+        assert all(a[0] == b[0] and (a[1] is None) == (b[1] is None) and abs((a[1] or 0) - (b[1] or 0)) < 1e-5
+                   for a, b in zip(*near, strict=True)), (i, near)
+
+
 PAGE = """<html><head><title>T</title><script>var a="</p><p>no";</script></head><body><nav><a href=x>Menu</a></nav>
 <header>Site head</header><div class="sidebar"><p>Side text, long enough to matter, indeed.</p></div>
 <article><h1>Title &amp; more</h1><p>First   paragraph, with <b>bold</b> text&nbsp;here.<p>Second &lt;one&gt;, open.<br>After
