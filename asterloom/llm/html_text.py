@@ -136,6 +136,12 @@ def blocks(page: str) -> list[tuple[str, str, int, bool]]:
     return out
 
 
+def _ancestors(path: str) -> list[str]:
+    """The paths of all elements around one, the nearest first."""
+    parts = path.split("/")
+    return ["/".join(parts[:k]) for k in range(len(parts) - 1, 0, -1)] or [""]
+
+
 def main_text(page: str) -> str:
     """The content blocks of one page, joined by line feeds."""
     found = blocks(page)
@@ -144,24 +150,37 @@ def main_text(page: str) -> str:
     if not found:
         return ""
     count, length, marks = defaultdict(int), defaultdict(int), defaultdict(int)
-    for path, text, linked, _ in found:
+    for path, text, linked, *_ in found:
         count[path] += 1
         length[path] += len(text) - linked
         marks[path] += len(PUNCTUATION.findall(text)) if linked < len(text) else 0
-    total = defaultdict(lambda: [0, 0.0, 0.0])  # by parent: weight, and both ratios times weight
+    beside = defaultdict(lambda: [0, 0.0, 0.0])  # by parent: weight, and both ratios times weight
+    below = defaultdict(lambda: [0, 0.0, 0.0])  # the same by ancestor, over its whole subtree
     for path in count:
-        parent = total[path.rpartition("/")[0]]
-        parent[0] += length[path]
-        parent[1] += length[path] * length[path] / count[path]
-        parent[2] += length[path] * marks[path] / count[path]
+        above = _ancestors(path)
+        for total in [beside[above[0]], *(below[x] for x in above)]:
+            total[0] += length[path]
+            total[1] += length[path] * length[path] / count[path]
+            total[2] += length[path] * marks[path] / count[path]
+    # Without an article, the deepest element that holds most of the text; the page's frame is none.
+    most = sum(length.values()) / 2
+    dense = max((x for x, total in below.items() if total[0] > most), key=lambda x: x.count("/"), default="")
     score = {}
     for path, n in count.items():
-        weight, lengths, punctuation = total[path.rpartition("/")[0]]
-        text_ratio = (length[path] / n + lengths / max(weight, 1)) / 2
-        mark_ratio = (marks[path] / n + punctuation / max(weight, 1)) / 2
-        score[path] = (text_ratio * (1 + mark_ratio)) ** 0.5 if length[path] else 0.0
+        above = _ancestors(path)
+        held = [k for k, x in enumerate(above) if x.rpartition("/")[2] in ("article", "main")]
+        if held:
+            above = above[: held[-1] + 1]
+        elif dense in above and dense.rpartition("/")[2] not in ("", "html", "body"):
+            above = above[: above.index(dense) + 1]
+        else:
+            above = []
+        means = [beside[path.rpartition("/")[0]], *(below[x] for x in above)]
+        score[path] = max(
+            (length[path] / n + lengths / max(weight, 1)) / 2 * (1 + (marks[path] / n + punctuation / max(weight, 1)) / 2)
+            for weight, lengths, punctuation in means) ** 0.5 if length[path] else 0.0
     least = SHARE * max(score.values())
-    return "\n".join([text for path, text, _, _ in found if score[path] >= least and score[path] > 0])
+    return "\n".join([text for path, text, *_ in found if score[path] >= least and score[path] > 0])
 
 
 def _extract_batches(batches):

@@ -332,6 +332,16 @@ def test_main_text_of_pages(spark):
     assert html_text.extract_main_text(df.limit(0)).count() == 0
 
 
+LONG = "A sentence of some length, which goes on for a while. " * 8
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<body><nav>Menu</nav><div>%s</div><p>Foot</p></body>"])
+def test_lists_and_tables_between_long_paragraphs_stay(around):
+    inner = f"<p>{LONG}</p><ul><li>Point one, said.</li><li>Two</li></ul><table><tr><td>7</td><td>cell</td></tr></table><p>{LONG}</p>"
+    expected = [LONG.strip(), "Point one, said.", "Two", "7", "cell", LONG.strip()]
+    assert html_text.main_text(around % inner).split("\n") == expected
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(400, 20)).astype(np.float32)
