@@ -38,12 +38,20 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span "
     "strike strong sub sup time tt u var".split())
 NOT_CONTENT = frozenset("nav footer aside form button select option dialog menu head object audio video canvas map".split())
-#: A class, id or role made of one of these words names what isn't content.
+#: A class, id or role token that is one of these words names what isn't content; see `_labelled` for compounds.
 LABELS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent notice notices alert "
     "comment comments disqus sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer header masthead "
     "complementary contentinfo search share sharing social related recommended newsletter subscribe subscription popup modal "
     "widget widgets toolbar pagination pager login signup hidden".split())
+#: In "comment-list" or "ad-slot" the first word is the label, in "search-results" it isn't.
+PARTS = frozenset(
+    "area bar banner block box button buttons container form icon icons inner item items link links list menu nav outer panel "
+    "section slot unit widget wrap wrapper".split())
+#: In "has-sidebar" or "entry-header" the last word is no label.
+STATES = frozenset("has have with no not without is js".split())
+TITLED = frozenset("article content entry main page post section story title".split())
+HEADS = frozenset(["header", "masthead"])
 #: An opening tag on the left ends an open element on the right.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -52,29 +60,49 @@ ENDS = {
 SHARE = 0.25  # of the best score
 
 
-def _unwanted(tag: str, rest: str, inside_main: bool) -> bool:
+def _labelled(value: str, inside_main: bool) -> bool:
+    """Whether a class, id or role has a token that names what isn't content."""
+    for token in value.split():
+        words = WORD.findall(token)
+        if not words:
+            continue
+        first, last = words[0], words[-1]
+        if last in LABELS:
+            if last in HEADS and (inside_main or first in TITLED) or len(words) > 1 and first in STATES:
+                continue
+            return True
+        if first in LABELS and words[1] in PARTS and not (inside_main and first in HEADS):
+            return True
+    return False
+
+
+def _unwanted(tag: str, rest: str, inside_main: bool) -> tuple[bool, bool]:
+    """Whether an element isn't content for sure, and whether it says so by its labels."""
     if tag in NOT_CONTENT or (tag == "header" and not inside_main):
-        return True
+        return True, False
     if tag in ("html", "body", "article", "main") or "=" not in rest and "hidden" not in rest.lower():
         # The page's frame is never labelled away, except for a comment's own article.
         if tag != "article" or "=" not in rest:
-            return False
+            return False, False
+    labelled = False
     for name, value in ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, False
         if name == "style":
             if "display:none" in value.replace(" ", ""):
-                return True
-        elif LABELS.intersection(WORD.findall(value)):
-            return True
-    return False
-
-
-def blocks(page: str) -> list[tuple[str, str, int, bool]]:
-    """(path, text, characters in links, inside article or main) in page order."""
-    out: list[tuple[str, str, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, whether from here on nothing counts, inside main
+                return True, False
+        elif name in ("class", "id", "role"):
+            labelled = labelled or _labelled(value, inside_main)
+    return labelled and tag in INLINE, labelled
+
+
+def blocks(page: str) -> list[tuple[str, str, int, bool, tuple[int, ...]]]:
+    """(path, text, characters in links, inside article or main, labelled elements around) in page order."""
+    out: list[tuple[str, str, int, bool, tuple[int, ...]]] = []
+    # Tag, whether from here on nothing counts, inside main, labelled elements.
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+    labelled = 0
     parts: list[str] = []
     linked = 0
 
@@ -83,8 +111,8 @@ def blocks(page: str) -> list[tuple[str, str, int, bool]]:
         if parts:
             text = SPACE.sub(" ", unescape("".join(parts))).strip()
             if text:
-                path = "/".join([t for t, _, _ in stack if t not in INLINE])
-                out.append((path, text, min(linked, len(text)), bool(stack) and stack[-1][2]))
+                path = "/".join([t for t, *_ in stack if t not in INLINE])
+                out.append((path, text, min(linked, len(text)), *(stack[-1][2:] if stack else (False, ()))))
             parts.clear()
         linked = 0
 
@@ -92,11 +120,11 @@ def blocks(page: str) -> list[tuple[str, str, int, bool]]:
         nonlocal linked
         if text and not (stack and stack[-1][1]):
             parts.append(text)
-            if any(t == "a" for t, _, _ in stack):
+            if any(t == "a" for t, *_ in stack):
                 linked += len(text.strip())
 
     def cut(depth: int) -> None:
-        if any(t not in INLINE for t, _, _ in stack[depth:]):
+        if any(t not in INLINE for t, *_ in stack[depth:]):
             flush()
         del stack[depth:]
 
@@ -128,9 +156,13 @@ def blocks(page: str) -> list[tuple[str, str, int, bool]]:
                 elif stack[depth][0] not in INLINE:
                     break
             if tag not in VOID and not rest.endswith("/"):
-                dead, inside = stack[-1][1:] if stack else (False, False)
+                dead, inside, labels = stack[-1][1:] if stack else (False, False, ())
                 inside = inside or tag in ("article", "main")
-                stack.append((tag, dead or _unwanted(tag, rest, inside), inside))
+                never, label = _unwanted(tag, rest, inside)
+                if label and not never:
+                    labelled += 1
+                    labels = (*labels, labelled)
+                stack.append((tag, dead or never, inside, labels))
     add(page[place:])
     flush()
     return out
@@ -145,7 +177,14 @@ def _ancestors(path: str) -> list[str]:
 def main_text(page: str) -> str:
     """The content blocks of one page, joined by line feeds."""
     found = blocks(page)
-    if any(inside for *_, inside in found):
+    # A labelled element that holds most of the page's text is judged by its ratios.
+    share = defaultdict(int)
+    for _, text, linked, _, labels in found:
+        for x in labels:
+            share[x] += len(text) - linked
+    half = sum(len(text) - linked for _, text, linked, *_ in found) / 2
+    found = [b for b in found if all(share[x] > half for x in b[4])]
+    if any(b[3] for b in found):
         found = [b for b in found if b[3]]
     if not found:
         return ""

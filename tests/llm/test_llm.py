@@ -342,6 +342,18 @@ def test_lists_and_tables_between_long_paragraphs_stay(around):
     assert html_text.main_text(around % inner).split("\n") == expected
 
 
+@pytest.mark.parametrize("page, expected", [
+    (f'<article><header class="entry-header"><h1>Head line</h1></header><p>{LONG}</p></article>', ["Head line", LONG.strip()]),
+    (f'<div class="content has-sidebar"><p>{LONG}</p></div>', [LONG.strip()]),
+    (f'<div id="search-results"><p>{LONG}</p></div>', [LONG.strip()]),
+    (f'<div class="widget"><article><p>{LONG}</p></article></div>', [LONG.strip()]),
+    (f'<div><p>{LONG}{LONG}</p></div><div class="comment-list"><p>{LONG}</p></div><div id="site-footer"><p>{LONG}</p></div>'
+     f'<div class="x sidebar"><p>{LONG}</p></div>', [(LONG * 2).strip()]),
+])
+def test_labels_are_whole_tokens_or_known_compounds(page, expected):
+    assert html_text.main_text(page).split("\n") == expected
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(400, 20)).astype(np.float32)
