@@ -193,6 +193,33 @@ def test_passages_behind_a_stock_line_are_found(spark, monkeypatch, block):
     assert not any(marked[3 * case + k] for case in range(40) for k in (0, 1))
 
 
+def test_near_passages_are_those_of_all_pairs(spark):
+    """50 words with one changed, a similarity of 41/51: the least that counts."""
+    rng = np.random.default_rng(4)
+    rows, expected = [], set()
+    for case in range(300):
+        passage = numbered(rng, 50)
+        for k in (0, 1):
+            text = numbered(rng, 60) + passage + numbered(rng, 60)
+            text[60 + 25] = f"changed{case}x{k}"
+            rows.append((2 * case + k, " ".join(text)))
+    text = {i: words(t) for i, t in rows}
+    places = collections.defaultdict(list)
+    for i, own in text.items():
+        for k, x in enumerate(shingles(" ".join(w.decode() for w in own), 5)):
+            places[x].append((i, k))
+    shared = collections.defaultdict(list)
+    for found in places.values():
+        for a, b in ((a, b) for a in found for b in found if a[0] < b[0]):
+            shared[b[0], a[0]].append(b[1])
+    for (b, a), at in shared.items():
+        span = max(at) - min(at) + 1
+        if span >= 46 and len(at) >= 0.8 * (2 * span - len(at)):
+            expected.add((b, a, min(at), span + 4))
+    got = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(expected) == 300 and {(r.doc_id, r.source_id, r.first_word, r.n_words) for r in got} == expected
+
+
 def test_cut_passages_leave_the_rest(spark, documents):
     rows = [(i, t, lang) for i, t, lang in documents]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
