@@ -1,15 +1,15 @@
 """Removal of repeated byte strings, keeping the first, over all documents.
 
-A byte goes if some `SPAN`-byte string that covers it also starts earlier: its
-longest previous factor is at least SPAN there. The suffixes are sharded by
-content, so that suffixes with equal SPAN-byte beginnings meet:
+A byte goes if some `SPAN`-byte string that covers it also starts earlier. Equal
+SPAN-byte windows are grouped by fingerprint; no suffix order and no longest
+previous factors are computed. The windows are sharded by content, so that equal
+ones meet:
 
 1. Each SPAN-byte window is owned by its least Q-gram (by hash, the leftmost),
    which depends on the window's bytes alone. Consecutive windows with one owner
    form a run. Of runs with equal bytes only the first can hold anything new.
-2. Where a Q-gram owns runs of different bytes, their windows are brought into
-   suffix order (to depth SPAN, by fingerprint). Among equal ones the previous
-   smaller position is an earlier match, so all but the first are covered.
+2. Where a Q-gram owns runs of different bytes, their windows are grouped by
+   fingerprint. Among equal ones all but the one at the first position are covered.
 3. A document's covered windows are merged and cut out.
 
 Runs with equal bytes are merged before they are shuffled, so a passage in a
@@ -222,10 +222,10 @@ def covered_windows(runs: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.
     place = begin[run] + window
     key = mix(fingerprints(data, place, place + SPAN) ^ mix(runs["h"].view(U), 3)[run] ^ (window - runs["o"][run]).astype(np.int64).view(U))
     doc, at = runs["doc"][run], runs["at"][run] + window
-    order = np.lexsort((at, doc, key))  # suffix order, then position
+    order = np.lexsort((at, doc, key))  # equal windows together, then by position
     key, doc, at = key[order], doc[order], at[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
-    head = np.flatnonzero(new)[np.cumsum(new) - 1]  # the smallest position among equal suffixes
+    head = np.flatnonzero(new)[np.cumsum(new) - 1]  # the smallest position among equal windows
     again = order[~new & ((doc != doc[head]) | (at != at[head]))]
     again.sort()
     return run[again], window[again]
