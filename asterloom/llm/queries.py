@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import tune
 from .bpe import digests, encode_decode
+from .conversations import damaged, repair_conversations, summaries
 from .decontam import contaminated
 from .exact_substrings import remove_repeats
 from .html_text import extract_main_text
@@ -119,3 +120,10 @@ def op2_exact_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that an earlier document also has, nearly or fully."""
     return near_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation and the edits that repair it."""
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return summaries(repair_conversations(rows, lost=F.col("lost")))
