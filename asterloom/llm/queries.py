@@ -16,6 +16,7 @@ from .html_text import extract_main_text
 from .langid import predict_languages, train_languages
 from .lm_scores import score_difference
 from .near_dups import near_duplicates
+from .packing import pack, token_pieces
 from .passages import near_passages
 from .quality import score_quality, trusted_ids
 from .topk import top_k
@@ -127,3 +128,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of every damaged conversation and the edits that repair it."""
     rows = damaged(table(spark, sf_dir, "conversations"))
     return summaries(repair_conversations(rows, lost=F.col("lost")))
+
+
+@query
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces of at most 2048 tokens and their places in packed sequences."""
+    import public_tokenizers
+
+    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
