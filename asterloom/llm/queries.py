@@ -18,6 +18,7 @@ from .lm_scores import score_difference
 from .near_dups import near_duplicates
 from .packing import pack, token_pieces
 from .passages import near_passages
+from .phrases import mine_phrases
 from .quality import score_quality, trusted_ids
 from .topk import top_k
 
@@ -137,3 +138,45 @@ def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest collocations of every language."""
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_phrases"] = r"""
+with texts as (
+  select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+pieces as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as p from texts),
+words as (select lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda w: w <> '') as ws from pieces),
+grams as (
+  select lang, ws[i : i + m - 1] as g from (
+    select lang, ws, m, unnest(range(1, len(ws) - m + 2)) as i
+    from words, (select unnest(range(1, 6)) as m) where len(ws) >= m)),
+f as (select lang, g, count(*) as c from grams group by lang, g),
+total as (select lang, sum(len(ws)) as n from words group by lang),
+cand as (select lang, g, c as a from f where len(g) >= 2 and c >= 100),
+longer as (
+  select lang, h, max(a) as most from (
+    select lang, g[1 : len(g) - 1] as h, a from cand union all select lang, g[2 : len(g)] as h, a from cand) group by lang, h),
+kept as (
+  select c.* from cand c left join longer x on x.lang = c.lang and x.h = c.g where x.most is null or x.most < c.a),
+cuts as (
+  select k.lang, k.g, k.a, k.k, h.c as l, t.c as r, total.n,
+    (1000::hugeint * k.a * total.n) // (h.c::hugeint * t.c) as score
+  from (select *, unnest(range(1, len(g))) as k from kept) k
+  join f h on h.lang = k.lang and h.g = k.g[1 : k.k]
+  join f t on t.lang = k.lang and t.g = k.g[k.k + 1 : len(k.g)]
+  join total on total.lang = k.lang),
+scored as (select *, row_number() over (partition by lang, g order by score, k) as nth from cuts),
+ranked as (
+  select *, array_to_string(g, ' ') as phrase,
+    row_number() over (partition by lang order by score desc, a desc, array_to_string(g, ' ')) as rank
+  from scored where nth = 1)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r,
+  cast(n as bigint) as n, cast(score as bigint) as score
+from ranked where rank <= 2000
+""".replace("\\", "\")
