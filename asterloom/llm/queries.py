@@ -179,4 +179,4 @@ ranked as (
 select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r,
   cast(n as bigint) as n, cast(score as bigint) as score
 from ranked where rank <= 2000
-""".replace("\\", "\")
+"""
