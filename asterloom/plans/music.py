@@ -16,14 +16,14 @@ from ..functions.text import md5_key
 from ..functions.timeparts import calendar_columns, calendar_dim, from_epoch_millis
 from ..operators.dedup import distinct_rows, drop_full_duplicates, earliest_by_key
 from ..operators.joins import join_on, look_up_first, orphan_keys, whole_equal
-from ..operators.quality import require_no_nulls, require_rows, require_spec
+from ..operators.quality import require_no_nulls, require_rows
 from ..operators.rows import has_key, only_page
 from ..operators.upsert import reduce_upserts
 from ..schemas import (
     ARTISTS, CATALOGUE_RAW, LOG_RAW, MUSIC_STAR, SONGPLAYS, SONGS, TIME, USERS, TableSpec,
 )
-from ..scratch import exists, materialise
-from ..sinks.files import insert_new, table_path, upsert_table, write_table
+from ..scratch import materialise
+from ..sinks.versions import Change
 from ..sources.files import read_json, read_tables
 from ..sources.staging import stage_json_files
 
@@ -208,13 +208,29 @@ def fact_spec(keep_unknown_users: bool = False) -> TableSpec:
     return replace(SONGPLAYS, not_null=("songplay_id", "start_time")) if keep_unknown_users else SONGPLAYS
 
 
-def _add_to_star(log: DataFrame, catalogue: DataFrame, fact: TableSpec, root: str, match: str, how: str) -> None:
+_PLAY_ORDER = ["start_time", "session_id", "user_id", "level", "song_id", "artist_id", "location", "user_agent"]
+
+
+def first_plays(fact: DataFrame) -> DataFrame:
+    """One play per key of the fact: of several, the least by user, level, song, artist, place and agent."""
+    return earliest_by_key(fact, list(SONGPLAYS.key), _PLAY_ORDER).select(SONGPLAYS.schema.fieldNames())
+
+
+def _fill_star(change: Change, log: DataFrame, catalogue: DataFrame, fact: TableSpec, match: str, how: str) -> None:
+    for spec, rows in build_star(log, catalogue, match, how).items():
+        if spec is SONGPLAYS:
+            change.replace(first_plays(rows), fact)
+        else:
+            change.replace(rows, spec)
+
+
+def _add_to_star(change: Change, log: DataFrame, catalogue: DataFrame, fact: TableSpec, match: str, how: str) -> None:
     """Merge one run's rows into the stored tables; the same rows again change nothing."""
-    upsert_table(_users_seen(log), USERS, root, _SEEN_ORDER, ["level"])
-    insert_new(songs_dim(catalogue), SONGS, root, ["title", "artist_id", "year", "duration"])
-    upsert_table(_artists_seen(catalogue), ARTISTS, root, ["song_id"], _PLACE)
-    insert_new(time_dim(log), TIME, root, ["start_time"])
-    insert_new(songplays_fact(log, catalogue, match, how), fact, root, ["start_time", "session_id"])
+    change.upsert(_users_seen(log), USERS, _SEEN_ORDER, ["level"])
+    change.insert_new(songs_dim(catalogue), SONGS, ["title", "artist_id", "year", "duration"])
+    change.upsert(_artists_seen(catalogue), ARTISTS, ["song_id"], _PLACE)
+    change.insert_new(time_dim(log), TIME, ["start_time"])
+    change.insert_new(songplays_fact(log, catalogue, match, how), fact, _PLAY_ORDER)
 
 
 def load_star(
@@ -228,14 +244,19 @@ def load_star(
     append_fact: bool = False,
     keep_unknown_users: bool = False,
 ) -> dict[str, DataFrame]:
-    """Stage, load dimensions, load the fact, check; returns the stored tables.
+    """Stage, load dimensions, load the fact, check, publish; returns the stored tables.
 
     Both inputs are staged as Parquet once, so each load reads its own columns
     of them instead of parsing the JSON again. `append_fact` adds this run's
     rows (say those of one day's path, see `render_path`) to the stored star:
     facts and times by key, users and artists as upserts, so a load may be
-    repeated. Plays without a user are counted and refused before any table is
-    touched, or kept with `keep_unknown_users`; none is left out.
+    repeated. Plays with the same key are one play, in the first load as in
+    later ones (`first_plays`). Plays without a user are counted and refused
+    before any table is touched, or kept with `keep_unknown_users`.
+
+    All five tables change in one version: their new rows are written and
+    audited beside the stored ones, and readers see them together or, if a check
+    fails, never. The audit reads the keys of the new rows only.
     """
     log = materialise(stage_log(spark, log_paths, mapping, PLAY_PAGE), "staged-log")
     catalogue = materialise(stage_catalogue(spark, catalogue_paths), "staged-catalogue")
@@ -244,17 +265,13 @@ def load_star(
     fact = fact_spec(keep_unknown_users)
     if not keep_unknown_users:
         require_no_nulls(plays(log), "plays", ["userId"])
-    if append_fact and all(exists(spark, table_path(spec, root)) for spec in MUSIC_STAR):
-        _add_to_star(log, catalogue, fact, root, match, how)
-    else:
-        for spec, rows in build_star(log, catalogue, match, how).items():
-            write_table(rows, fact if spec is SONGPLAYS else spec, root)
-    stored = read_tables(spark, MUSIC_STAR, root)
-    for spec in MUSIC_STAR:
-        # An inner-joined fact may rightly be empty.
-        if not (spec is SONGPLAYS and how == "inner" and stored[spec.name].isEmpty()):
-            require_spec(stored[spec.name], fact if spec is SONGPLAYS else spec)
-    return stored
+    with Change(spark, root) as change:
+        add = append_fact and all(change.stored(spec) for spec in MUSIC_STAR)
+        (_add_to_star if add else _fill_star)(change, log, catalogue, fact, match, how)
+        for spec in MUSIC_STAR:
+            # An inner-joined fact may rightly be empty; rows to add were chosen for new keys.
+            change.audit(fact if spec is SONGPLAYS else spec, may_be_empty=add or (spec is SONGPLAYS and how == "inner"), new_keys=add)
+    return read_tables(spark, MUSIC_STAR, root)
 
 
 def star_orphans(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -269,7 +286,7 @@ def star_orphans(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 __all__ = [
-    "LOG_MAPPING", "MATCHES", "PLAY_PAGE", "artists_dim", "artists_distinct", "build_star", "fact_spec", "load_star", "plays",
+    "LOG_MAPPING", "MATCHES", "PLAY_PAGE", "artists_dim", "artists_distinct", "build_star", "fact_spec", "first_plays", "load_star", "plays",
     "songplays_fact", "songs_dim", "songs_distinct", "stage_catalogue", "stage_log", "star_orphans", "time_dim", "users_dim",
     "users_distinct",
 ]

@@ -157,7 +157,8 @@ def replace_table(rows: DataFrame, spec: TableSpec, root: str, staged: str | Non
         discard(spark, staged)
 
 
-def _keyed_by_partition(spec: TableSpec) -> bool:
+def keyed_by_partition(spec: TableSpec) -> bool:
+    """Whether rows of one key always lie in one partition."""
     return bool(spec.partition_by) and (spec.partition_follows_key or set(spec.partition_by) <= set(spec.key))
 
 
@@ -170,7 +171,7 @@ def touched_rows(updates: DataFrame, spec: TableSpec, root: str) -> DataFrame:
     """
     finish_replacing(updates.sparkSession, spec, root)
     target = read_table(updates.sparkSession, spec, root)
-    if not _keyed_by_partition(spec):
+    if not keyed_by_partition(spec):
         return target
     touched = updates.select([F.col(c).alias(f"_{c}") for c in spec.partition_by]).distinct()
     same = lambda eq: reduce(lambda a, b: a & b, [eq(F.col(c), F.col(f"_{c}")) for c in spec.partition_by])
@@ -197,7 +198,7 @@ def upsert_table(
     the batch touches. `staged` is explained at `replace_table`.
     """
     target = touched_rows(updates, spec, root)
-    replace_table(upsert(target, updates, spec.key, order_by, update), spec, root, staged, _keyed_by_partition(spec))
+    replace_table(upsert(target, updates, spec.key, order_by, update), spec, root, staged, keyed_by_partition(spec))
 
 
 def insert_new(updates: DataFrame, spec: TableSpec, root: str, order_by: Sequence[str]) -> None:

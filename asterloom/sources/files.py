@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.casts import conform
 from ..schemas import TableSpec, schema_of
+from ..versions import current, read_state
 
 
 # A quote inside a quoted field is doubled, as the writers do it.
@@ -118,13 +119,18 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str], schema: T.Stru
 
 
 def read_table(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
-    """One declared table under `root`."""
-    return read_parquet(spark, f"{root.rstrip('/')}/{spec.name}", spec.schema)
+    """One declared table under `root`, in its newest version if it has versions."""
+    return read_tables(spark, [spec], root)[spec.name]
 
 
 def read_tables(spark: SparkSession, specs: Sequence[TableSpec], root: str) -> dict[str, DataFrame]:
-    """Every declared table under `root`, by name. Reads metadata only."""
-    return {spec.name: read_table(spark, spec, root) for spec in specs}
+    """Every declared table under `root`, by name, all of one version. Reads metadata only."""
+    version = current(spark, root)
+    return {
+        spec.name: read_state(spark, spec, root, version.tables[spec.name]) if spec.name in version.tables
+        else read_parquet(spark, f"{root.rstrip('/')}/{spec.name}", spec.schema)
+        for spec in specs
+    }
 
 
 def render_path(template: str, values: Mapping[str, object]) -> str:

@@ -170,6 +170,27 @@ def test_plays_without_a_user_are_refused_or_kept(spark, local, raw):
     assert star["songplays"].count() == 6 and star["songplays"].filter("user_id is null").count() == 1
 
 
+def test_plays_with_one_key_are_one_play(spark, local, raw):
+    """Another user at the same item and time: the least user's play stays, and the load may be repeated."""
+    (local / "log_data/2018/11/9.json").write_text("".join(
+        json.dumps(event(userId=u, sessionId=77, itemInSession=3, ts=T0 + 9)) + "\n" for u in ("30", "20", "25")))
+    args = (spark, f"{raw}/log_data", f"{raw}/song_data", f"{raw}/star")
+    for _ in range(2):
+        star = music.load_star(*args, append_fact=True)
+        assert star["songplays"].count() == 6
+        assert rows(star["songplays"].filter("session_id = 77").select("user_id")) == [(20,)]
+
+
+def test_a_refused_load_leaves_the_whole_star(spark, local, raw, monkeypatch):
+    args = (spark, f"{raw}/log_data", f"{raw}/song_data", f"{raw}/star")
+    music.load_star(*args)
+    before = {p: p.read_bytes() for p in sorted((local / "star").rglob("*")) if p.is_file()}
+    monkeypatch.setattr(music, "first_plays", lambda fact: fact.unionAll(fact))
+    with pytest.raises(QualityError, match="songplays holds rows with the same"):
+        music.load_star(*args)
+    assert {p: p.read_bytes() for p in sorted((local / "star").rglob("*")) if p.is_file()} == before
+
+
 def test_distinct_songs_and_artists(staged):
     _, catalogue = staged
     assert music.songs_distinct(catalogue.union(catalogue)).count() == 4
