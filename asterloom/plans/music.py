@@ -25,6 +25,7 @@ from ..schemas import (
 from ..scratch import materialise
 from ..sinks.versions import Change
 from ..sources.files import read_json, read_tables
+from ..sources.ledger import load_unseen
 from ..sources.staging import stage_json_files
 
 # The page that marks a play, and the staged log's field paths
@@ -243,6 +244,7 @@ def load_star(
     mapping: Mapping[str, tuple[str, str]] | None = None,
     append_fact: bool = False,
     keep_unknown_users: bool = False,
+    run: str | None = None,
 ) -> dict[str, DataFrame]:
     """Stage, load dimensions, load the fact, check, publish; returns the stored tables.
 
@@ -257,7 +259,24 @@ def load_star(
     All five tables change in one version: their new rows are written and
     audited beside the stored ones, and readers see them together or, if a check
     fails, never. The audit reads the keys of the new rows only.
+
+    With the name of a `run` only log files that no earlier run has loaded are
+    read, and the run's are noted in the ledger by the same version
+    (`sources.ledger`): a run may be repeated, and runs come in any order.
     """
+    if run is not None:
+        load_unseen(
+            spark, root, log_paths, run,
+            lambda change, paths: _load(change, paths, catalogue_paths, match, how, mapping, append_fact, keep_unknown_users),
+        )
+    else:
+        with Change(spark, root) as change:
+            _load(change, log_paths, catalogue_paths, match, how, mapping, append_fact, keep_unknown_users)
+    return read_tables(spark, MUSIC_STAR, root)
+
+
+def _load(change: Change, log_paths, catalogue_paths, match, how, mapping, append_fact, keep_unknown_users) -> None:
+    spark = change.spark
     log = materialise(stage_log(spark, log_paths, mapping, PLAY_PAGE), "staged-log")
     catalogue = materialise(stage_catalogue(spark, catalogue_paths), "staged-catalogue")
     require_rows(log, "log")
@@ -265,13 +284,11 @@ def load_star(
     fact = fact_spec(keep_unknown_users)
     if not keep_unknown_users:
         require_no_nulls(plays(log), "plays", ["userId"])
-    with Change(spark, root) as change:
-        add = append_fact and all(change.stored(spec) for spec in MUSIC_STAR)
-        (_add_to_star if add else _fill_star)(change, log, catalogue, fact, match, how)
-        for spec in MUSIC_STAR:
-            # An inner-joined fact may rightly be empty; rows to add were chosen for new keys.
-            change.audit(fact if spec is SONGPLAYS else spec, may_be_empty=add or (spec is SONGPLAYS and how == "inner"), new_keys=add)
-    return read_tables(spark, MUSIC_STAR, root)
+    add = append_fact and all(change.stored(spec) for spec in MUSIC_STAR)
+    (_add_to_star if add else _fill_star)(change, log, catalogue, fact, match, how)
+    for spec in MUSIC_STAR:
+        # An inner-joined fact may rightly be empty; rows to add were chosen for new keys.
+        change.audit(fact if spec is SONGPLAYS else spec, may_be_empty=add or (spec is SONGPLAYS and how == "inner"), new_keys=add)
 
 
 def star_orphans(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.counting import Counted, null_figures
 from ..operators.quality import QualityError
-from ..schemas import TableSpec, schema_of
+from ..schemas import SESSION_ITEMS, SONG_USERS, USER_SESSIONS, TableSpec, schema_of
 from ..scratch import scratch_path
+from ..sinks.checked import load_json_checked
 from ..sinks.versions import Change, clean_up
-from ..sources.files import read_table
+from ..sources.files import read_json, read_table
+from ..sources.ledger import load_unseen
+from ..sources.rejects import REJECTS
 from .base import query
 
 _LEVELS = TableSpec("levels", schema_of("user_id bigint, level string"))
@@ -77,3 +81,138 @@ def refused_load(t):
     except QualityError:
         pass
     return read_table(t.spark, _USERS, root)
+
+
+_EVENTS = TableSpec("kept_events", schema_of("event_id bigint, user_id bigint"))
+
+
+@query("""
+    SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reason
+    FROM events WHERE event_type NOT IN ('error', 'purchase', 'signup')
+    UNION ALL SELECT NULL, NULL, '{"event_id":' || event_id || ',"user_id":"u', 'malformed' FROM events WHERE event_type = 'error'
+    UNION ALL SELECT NULL, NULL, '{"event_id":' || event_id || ',"user_id":"u' || user_id || '"}', 'bad user_id'
+              FROM events WHERE event_type = 'purchase'
+    UNION ALL SELECT NULL, NULL, '[' || event_id || ']', 'not an object' FROM events WHERE event_type = 'signup'
+""")
+def json_rejects(t):
+    """JSON lines, of which some are cut off, no objects or of wrong types: loaded rows and kept rejects."""
+    root = scratch_path(t.spark, "rejects")
+    kind, event, user = F.col("event_type"), F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    head = F.concat(F.lit('{"event_id":'), event, F.lit(',"user_id":'))
+    line = (
+        F.when(kind == "error", F.concat(head, F.lit('"u')))
+        .when(kind == "purchase", F.concat(head, F.lit('"u'), user, F.lit('"}')))
+        .when(kind == "signup", F.concat(F.lit("["), event, F.lit("]")))
+        .otherwise(F.concat(head, user, F.lit("}")))
+    )
+    t.events.select(line.alias("value")).write.text(f"{root}/raw")
+    figures = load_json_checked(t.spark, f"{root}/raw", _EVENTS, root)
+    if figures["loaded"] + figures["rejected"] != figures["lines"]:
+        raise QualityError(f"lines are missing: {figures}")
+    none = F.lit(None).cast("string")
+    kept = read_table(t.spark, _EVENTS, root).select("event_id", "user_id", none.alias("line"), none.alias("reason"))
+    number = F.lit(None).cast("bigint")
+    return kept.unionAll(read_table(t.spark, REJECTS, root).select(number, number, "line", "reason"))
+
+
+_RUNS = TableSpec("run_events", schema_of("event_id bigint, user_id bigint, run string"), key=("event_id",))
+
+
+@query("""
+    SELECT event_id, user_id, CASE WHEN day(ts) <= 10 THEN 'first' WHEN day(ts) <= 20 THEN 'second' ELSE 'third' END AS run FROM events
+""")
+def ledger_loads(t):
+    """Ten days' files a run, runs in any order and one of them twice: every file counts once, under its first run."""
+    root = scratch_path(t.spark, "ledger")
+    day = F.dayofmonth("ts")
+    part = F.when(day <= 10, "first").when(day <= 20, "second").otherwise("third")
+    t.events.select("event_id", "user_id", part.alias("part")).write.partitionBy("part").json(f"{root}/raw")
+    schema = schema_of("event_id bigint, user_id bigint")
+    for run, folder in (("third", "third"), ("first", "first"), ("again", "first"), ("second", "second"), ("all", "*")):
+        load_unseen(
+            t.spark, f"{root}/star", f"{root}/raw/part={folder}", run,
+            lambda change, paths, run=run: change.insert_new(
+                read_json(t.spark, paths, schema).withColumn("run", F.lit(run)), _RUNS, ["user_id"]),
+        )
+    return read_table(t.spark, _RUNS, f"{root}/star")
+
+
+@query("""
+    SELECT 'days' AS tbl, count(*) AS n_source, count(DISTINCT (user_id, CAST(ts AS DATE))) AS n_target, count(*) - count(user_id) AS null_user_id
+    FROM events
+""")
+def load_counts(t):
+    """Rows read, NULLs met and rows written, counted by the load itself: no table is scanned for them."""
+    root = scratch_path(t.spark, "counts")
+    source = Counted(_rows(t), **null_figures(["user_id"]))
+    with Change(t.spark, root) as change:
+        written = change.insert_new(source.df, _DAYS, ["ts", "event_id"])
+    found = source.get()
+    return t.spark.range(1).select(
+        F.lit("days").alias("tbl"), F.lit(found["rows"]).cast("bigint").alias("n_source"), F.lit(written).cast("bigint").alias("n_target"),
+        F.lit(found["null_user_id"]).cast("bigint").alias("null_user_id"))
+
+
+def _played(t):
+    part = t.part.select("p_partkey", "p_name", "p_brand")
+    return t.lineitem.filter(F.col("l_returnflag") == "R").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_orderkey").cast("int").alias("session_id"), F.col("l_linenumber").cast("int").alias("item_in_session"),
+        F.col("p_brand").alias("artist_name"), F.col("p_name").alias("song_title"), F.col("l_quantity").cast("double").alias("song_length"),
+        F.col("l_suppkey").cast("int").alias("user_id"), F.concat(F.lit("first "), "l_suppkey").alias("user_firstname"),
+        F.concat(F.lit("last "), "l_suppkey").alias("user_lastname"),
+    )
+
+
+def _looked_up(t, spec, order_by, columns):
+    """The stored rows of the table's first key, which the filter finds by bloom filters and page statistics."""
+    root = scratch_path(t.spark, "look-ups")
+    with Change(t.spark, root) as change:
+        change.insert_new(_played(t), spec, order_by)
+    stored = read_table(t.spark, spec, root)
+    key = stored.agg(F.min(F.struct(*columns)).alias("k")).first()["k"]
+    for c in columns:
+        stored = stored.filter(F.col(c) == F.lit(key[c]))
+    return stored
+
+
+_PLAYED_SQL = """
+    SELECT CAST(l_orderkey AS INTEGER) AS session_id, CAST(l_linenumber AS INTEGER) AS item_in_session, p_brand AS artist_name,
+           p_name AS song_title, CAST(l_quantity AS DOUBLE) AS song_length, CAST(l_suppkey AS INTEGER) AS user_id,
+           'first ' || l_suppkey AS user_firstname, 'last ' || l_suppkey AS user_lastname
+    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'
+"""
+
+
+@query(f"""
+    SELECT * EXCLUDE (rn) FROM (
+        SELECT session_id, item_in_session, artist_name, song_title, song_length,
+               row_number() OVER (PARTITION BY session_id, item_in_session ORDER BY artist_name, song_title, song_length) AS rn
+        FROM ({_PLAYED_SQL}) p) q
+    WHERE rn = 1 ORDER BY session_id, item_in_session LIMIT 1
+""")
+def stored_session_item(t):
+    """One item of one session, from the stored table of session items."""
+    return _looked_up(t, SESSION_ITEMS, ["artist_name", "song_title", "song_length"], ["session_id", "item_in_session"])
+
+
+@query(f"""
+    SELECT * EXCLUDE (rn, first) FROM (
+        SELECT user_id, session_id, item_in_session, artist_name, song_title, user_firstname, user_lastname,
+               row_number() OVER (PARTITION BY user_id, session_id, item_in_session ORDER BY artist_name, song_title) AS rn,
+               rank() OVER (ORDER BY user_id, session_id) AS first
+        FROM ({_PLAYED_SQL}) p) q
+    WHERE rn = 1 AND first = 1
+""")
+def stored_user_session(t):
+    """One user's one session in order, from the stored table of user sessions."""
+    found = _looked_up(t, USER_SESSIONS, ["artist_name", "song_title"], ["user_id", "session_id"])
+    return found.orderBy("item_in_session")
+
+
+@query(f"""
+    SELECT DISTINCT song_title, user_id, user_firstname, user_lastname FROM ({_PLAYED_SQL}) p
+    WHERE song_title = (SELECT min(song_title) FROM ({_PLAYED_SQL}) q)
+""")
+def stored_song_listeners(t):
+    """Who heard one song, from the stored table of listeners."""
+    return _looked_up(t, SONG_USERS, ["user_firstname"], ["song_title"])

@@ -55,6 +55,8 @@ class TableSpec:
     cluster_by: tuple[str, ...] = field(default=())
     # Rows of one key always share a partition, though its columns aren't in the key.
     partition_follows_key: bool = False
+    # Columns that rows are looked up by: their files carry Bloom filters.
+    look_up_by: tuple[str, ...] = ()
 
 
 # --- raw inputs (fixed values) ---------------------------------------------
@@ -145,6 +147,7 @@ SESSION_ITEMS = TableSpec(
     ),
     key=("session_id", "item_in_session"),
     cluster_by=("session_id", "item_in_session"),
+    look_up_by=("session_id",),
 )
 USER_SESSIONS = TableSpec(
     "user_sessions",
@@ -154,12 +157,14 @@ USER_SESSIONS = TableSpec(
     ),
     key=("user_id", "session_id", "item_in_session"),
     cluster_by=("user_id", "session_id", "item_in_session"),
+    look_up_by=("user_id", "session_id"),
 )
 SONG_USERS = TableSpec(
     "song_users",
     schema_of("song_title string, user_id int, user_firstname string, user_lastname string"),
     key=("song_title", "user_id"),
     cluster_by=("song_title", "user_id"),
+    look_up_by=("song_title",),
 )
 
 # --- arrivals star (fixed values) ------------------------------------------

@@ -19,7 +19,7 @@ from ..versions import (
     LOAD, TableState, Version, VersionConflict, current, load_path, new_load, partition_key, publish, read_state, read_version,
     version_numbers,
 )
-from .files import keyed_by_partition, lay_out, required, table_path
+from .files import bloom_options, keyed_by_partition, lay_out, required, table_path
 
 RETRIES = 5
 
@@ -102,7 +102,7 @@ class Change:
 
     def _write(self, rows: DataFrame, spec: TableSpec) -> str:
         load, counted = new_load(self.base.number + 1), Counted(required(conform(rows, spec.schema), spec))
-        writer = lay_out(counted.df, spec.partition_by, spec.cluster_by).write
+        writer = lay_out(counted.df, spec.partition_by, spec.cluster_by).write.options(**bloom_options(spec.look_up_by))
         if spec.partition_by:
             writer = writer.partitionBy(*spec.partition_by)
         pending = self._pending[spec.name]
