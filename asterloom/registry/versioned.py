@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.counting import Counted, null_figures
 from ..operators.quality import QualityError
+from ..plans import arrivals
 from ..schemas import SESSION_ITEMS, SONG_USERS, USER_SESSIONS, TableSpec, schema_of
 from ..scratch import scratch_path
 from ..sinks.checked import load_json_checked
 from ..sinks.versions import Change, clean_up
 from ..sources.files import read_json, read_table
+from ..sources.labels import read_scripts
 from ..sources.ledger import load_unseen
 from ..sources.rejects import REJECTS
 from .base import query
@@ -216,3 +221,67 @@ def stored_user_session(t):
 def stored_song_listeners(t):
     """Who heard one song, from the stored table of listeners."""
     return _looked_up(t, SONG_USERS, ["user_firstname"], ["song_title"])
+
+
+_NUMBERED = TableSpec("numbered", schema_of("number bigint, event_id bigint, day date"), key=("number",), partition_by=("day",))
+
+
+@query("""
+    SELECT CAST(row_number() OVER (ORDER BY CASE WHEN ts < TIMESTAMP '2024-01-16 12:00:00' THEN 0 ELSE 1 END, event_id) AS BIGINT) + 99 AS number,
+           event_id, CAST(ts AS DATE) AS day
+    FROM events
+""")
+def identity_continues(t):
+    """Two appends, by time: the second's numbers go on where the first's end."""
+    root = scratch_path(t.spark, "numbered")
+    noon = F.lit(_NOON).cast("timestamp_ntz")
+    rows = t.events.select("event_id", F.col("ts").cast("date").alias("day"), "ts")
+    for batch in (rows.filter(F.col("ts") < noon), rows.filter(F.col("ts") >= noon)):
+        with Change(t.spark, root) as change:
+            change.append_numbered(batch.drop("ts"), _NUMBERED, "number", ["event_id"], start=100)
+            change.audit(_NUMBERED, new_keys=True)
+    return read_table(t.spark, _NUMBERED, root)
+
+
+@query("""
+    SELECT 'country_code' AS list, CAST(n_nationkey AS VARCHAR) AS code, n_name || ', by air' AS label FROM nation
+    UNION ALL SELECT 'port_code', 'P' || s_suppkey, s_name || '''S PIER' FROM supplier
+    UNION ALL SELECT 'state_code', upper(substr(r_name, 1, 2)), r_name FROM region
+    UNION ALL SELECT 'travel_code', CAST(p_size AS VARCHAR), 'size ' || p_size FROM (SELECT DISTINCT p_size FROM part) p
+    UNION ALL SELECT 'visa_code', CAST(r_regionkey AS VARCHAR), r_name FROM region
+""")
+def code_lists(t):
+    """The five code lists of one script, four from its blocks and one from a comment."""
+
+    def block(rows, code, label, name, comment=False):
+        entry = F.concat(F.lit("   "), code, F.lit(" = "), label)
+        # In ranges of one folder a file holds the whole block; the script is one text.
+        listed = rows.select(entry.alias("entry")).agg(F.array_join(F.array_sort(F.collect_set("entry")), "\n").alias("body"))
+        start, end = (f"/* {name} - in a comment:\n", "\n*/\n") if comment else (f"value {name}\n", " ;\n\n")
+        return listed.select(F.concat(F.lit(start), "body", F.lit(end)).alias("value"))
+
+    def quoted(c):
+        return F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("''")), F.lit("'"))
+
+    def text(c):
+        return F.col(c).cast("string")
+
+    blocks = [
+        block(t.nation, text("n_nationkey"), quoted(F.concat("n_name", F.lit(", by air   "))), "i94cntyl"),
+        block(t.supplier, quoted(F.concat(F.lit("P"), text("s_suppkey"))), quoted(F.concat("s_name", F.lit("'S PIER"))), "$i94prtl"),
+        block(t.region, quoted(F.upper(F.substring("r_name", 1, 2))), quoted(F.col("r_name")), "i94addrl"),
+        block(t.part, text("p_size"), quoted(F.concat(F.lit("size "), text("p_size"))), "i94model"),
+        block(t.region, text("r_regionkey"), F.col("r_name"), "I94VISA", comment=True),
+    ]
+    script = blocks[0].select(F.col("value").alias("v0"))
+    for k, other in enumerate(blocks[1:], 1):
+        script = script.withColumn("one", F.lit(1)).join(
+            other.select(F.col("value").alias(f"v{k}"), F.lit(1).alias("one")), "one").drop("one")
+    root = scratch_path(t.spark, "script")
+    script.select(F.concat(*[f"v{k}" for k in range(5)]).alias("value")).write.text(root)
+    lists = arrivals.code_tables(read_scripts(t.spark, f"{root}/*.txt"))
+    found = [
+        df.select(F.lit(spec.name).alias("list"), text("code").alias("code"), F.col(df.columns[1]).alias("label"))
+        for spec, df in lists.items()
+    ]
+    return reduce(DataFrame.unionAll, found)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import conform
 from ..operators.counting import Counted
+from ..operators.keys import identity_key
 from ..operators.quality import QualityError, duplicate_keys
 from ..operators.upsert import insert_ignore, upsert
 from ..schemas import TableSpec
@@ -115,6 +116,19 @@ class Change:
         """Add rows; returns how many, counted by the write itself."""
         return self._of(spec).rows[self._write(rows, spec)]
 
+    def append_numbered(self, rows: DataFrame, spec: TableSpec, column: str, order_by: Sequence[str], start: int = 0) -> int:
+        """Add rows whose `column` goes on with the numbers after the last one given out.
+
+        The next number is noted in the version, so appends give dense numbers
+        without a look at the table, numbers once given never change, and a
+        lost run, which has published no row, has taken none.
+        """
+        mark = f"next {spec.name}.{column}"
+        first = int(self.marks.get(mark, self.base.marks.get(mark, start)))
+        written = self.append(identity_key(rows, column, order_by, first), spec)
+        self.marks[mark] = str(first + written)
+        return written
+
     def replace(self, rows: DataFrame, spec: TableSpec) -> int:
         """These rows instead of all the table has; they may be computed from it."""
         pending = self._of(spec, take_over=False)
@@ -184,7 +198,7 @@ class Change:
             clash = near(stored, keys, spec).select(*spec.key).join(keys.select(*spec.key).distinct(), list(spec.key), "left_semi")
             if not clash.isEmpty():
                 raise QualityError(f"{spec.name} already holds rows with the same {tuple(spec.key)}")
-        if not duplicate_keys(keys, spec.key).isEmpty():
+        if not duplicate_keys(keys, spec.key, "_many").isEmpty():
             raise QualityError(f"{spec.name} holds rows with the same {tuple(spec.key)}")
 
     def publish(self) -> Version:

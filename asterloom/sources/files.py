@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,27 +83,23 @@ def read_csv_skipping(
 ) -> DataFrame:
     """CSV whose first `skip_lines` lines of every file are not data.
 
-    Files stay splittable: the split that opens a file drops that file's first
-    lines while streaming, and no file is held whole. The lines must lie in
-    the first split. Fields must not contain line breaks.
+    Files stay splittable. A first pass counts the lines of every split; the
+    counts of a file's earlier splits tell how much of the head lies in each,
+    so a head may be longer than a split. The second pass leaves out the lines
+    that are numbered below that. One row per split that has a part of a head
+    is joined, and no row goes through Python. Fields must not contain line
+    breaks.
     """
-    split = F.concat_ws("@", F.col("_metadata.file_block_start"), F.col("_metadata.file_path"))
-    lines = spark.read.text(paths).select("value", split.alias("split"))
-
-    def drop_head(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, seen = None, 0
-        for batch in batches:
-            splits = batch.column("split")
-            for name in pc.unique(splits).to_pylist():
-                part = batch.filter(pc.equal(splits, name))
-                if name != current:
-                    current, seen = name, 0
-                skip = max(skip_lines - seen, 0) if name.startswith("0@") else 0
-                seen += part.num_rows
-                yield part.select(["value"]).slice(min(skip, part.num_rows))
-
+    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
+    lines = spark.read.text(paths).select("value", *split, F.monotonically_increasing_id().alias("_n"))
+    counted = lines.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_many"), F.min("_n").alias("_first"))
+    earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_many").over(earlier), F.lit(0))
+    heads = counted.withColumn("_skip", F.least(F.lit(skip_lines) - before, "_many")).filter(F.col("_skip") > 0)
+    heads = heads.select("_file", "_start", (F.col("_first") + F.col("_skip")).alias("_from"))
+    data = lines.join(heads, ["_file", "_start"], "left").filter(F.col("_from").isNull() | (F.col("_n") >= F.col("_from")))
     ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
-    parsed = lines.mapInArrow(drop_head, "value string").select(F.from_csv("value", ddl, {"sep": sep, **QUOTING}).alias("r"))
+    parsed = data.select(F.from_csv("value", ddl, {"sep": sep, **QUOTING}).alias("r"))
     return conform(parsed.select("r.*"), schema)
 
 

@@ -22,13 +22,13 @@ def write(path, text):
 
 
 def test_json_tree_by_name(spark, local, folder):
-    write(local / "2018/11/a.json", '{"userId":"39","ts":1541105830796,"page":"Home","new":1}\n{"userId":"","ts":"x"}\n')
+    write(local / "2018/11/a.json", '{"userId":"39","ts":1541052920350,"page":"Home","new":1}\n{"userId":"","ts":"x"}\n')
     write(local / "2018/12/b.json", '{"page":"NextSong","length":246.3,"itemInSession":2}\n')
     write(local / "2018/12/notes.txt", "no json")
     got = sources.read_json(spark, folder, LOG_RAW, recursive=True, glob="*.json")
     assert got.schema == LOG_RAW
     assert rows(got.select("userId", "ts", "page", "length", "itemInSession")) == [
-        (39, 1541105830796, "Home", None, None), (None, None, "NextSong", 246.3, 2), (None, None, None, None, None),
+        (39, 1541052920350, "Home", None, None), (None, None, "NextSong", 246.3, 2), (None, None, None, None, None),
     ]
     by_glob = sources.read_json(spark, f"{folder}/*/11/*json", LOG_RAW)
     assert by_glob.count() == 2
@@ -322,3 +322,21 @@ def test_an_upsert_lost_half_way_is_finished_by_the_next_load(spark, folder, mon
     assert sources.read_table(spark, _GUARDED, folder).isEmpty()
     sinks.upsert_table(_guarded(spark, (4, "d")), _GUARDED, folder, ["v"], ["v"])
     assert rows(sources.read_table(spark, _GUARDED, folder)) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+
+
+def test_heads_longer_than_a_split(spark, local, folder):
+    """A head of many splits in one file, a short file that is all head, an empty one: no row goes through Python."""
+    head = "".join(f"# line {i} {'x' * 50}\n" for i in range(300))
+    write(local / "a.csv", head + "".join(f"a{i},{i}\n" for i in range(2000)))
+    write(local / "b.csv", "".join(f"b{i},{i}\n" for i in range(120)))
+    write(local / "c.csv", "")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        got = sources.read_csv_skipping(spark, folder, schema_of("k string, v int"), 300)
+        assert got.rdd.getNumPartitions() > 1
+        assert rows(got) == sorted([(f"a{i}", i) for i in range(2000)], key=repr)
+        assert "MapInArrow" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sources.read_csv_skipping(spark, folder, schema_of("k string, v int"), 3).count() == 297 + 2000 + 117
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

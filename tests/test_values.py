@@ -50,12 +50,12 @@ def test_epoch_does_not_depend_on_the_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        df = one(spark, "ms bigint", 1541105830796)
+        df = one(spark, "ms bigint", 1541052920350)
         r = df.select(timeparts.from_epoch_millis("ms"), timeparts.from_epoch_seconds("ms")).first()
-        assert r[0] == dt.datetime(2018, 11, 1, 20, 57, 10, 796000)
-        assert r[1] == dt.datetime(2018, 11, 1, 20, 57, 10)
+        assert r[0] == dt.datetime(2018, 11, 1, 6, 15, 20, 350000)
+        assert r[1] == dt.datetime(2018, 11, 1, 6, 15, 20)
         back = df.select(timeparts.to_epoch_millis(timeparts.from_epoch_millis("ms"))).first()
-        assert back[0] == 1541105830796
+        assert back[0] == 1541052920350
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
@@ -99,8 +99,8 @@ def test_separator_is_no_pattern(spark):
 
 
 def test_clean_label(spark):
-    df = spark.createDataFrame([("\t'ALCAN, AK     ' ;",), (" O'HARE ",)], "s string")
-    assert [r[0] for r in df.select(text.clean_label("s")).collect()] == ["ALCAN, AK", "O'HARE"]
+    df = spark.createDataFrame([("\t'QUAY BAY, ZZ     ' ;",), (" O'HARE ",)], "s string")
+    assert [r[0] for r in df.select(text.clean_label("s")).collect()] == ["QUAY BAY, ZZ", "O'HARE"]
 
 
 def test_md5_key_null_rules(spark):
@@ -117,32 +117,32 @@ def test_row_key_tells_null_columns_apart(spark):
 
 
 LABELS = """libname library 'x' ;
-/* I94CIT - a comment with value and 7 = 'NOT THIS' */
+/* COUNTRIES - a comment with value and 7 = 'NOT THIS' */
   value i94cntyl
-   582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'
-   236 =  'AFGHANISTAN'
-   996 =  'No Country Code (996)' ;
+   711 =  'NORTHMARK by Ferry, and Not Named (N-1, no other ways)'
+   412 =  'EASTMARK'
+   903 =  'Unlisted Place (903)' ;
 
 /* ports */
   value $i94prtl
-   'ALC'\t=\t'ALCAN, AK             '
-   'INT'\t=\t'INT''L FALLS, MN      '
-   'CP '\t=\t'No PORT Code (CP)'
-   'ATL' \t=\t'ATLANTA, GA'
-   'AT2'\t=\t'ATLANTA, GA; second'
+   'QAB'\t=\t'QUAY BAY, ZZ             '
+   'ONE'\t=\t'O''NEIL PIER, ZY     '
+   'XP '\t=\t'Pier Not Named (XP)'
+   'HBR' \t=\t'HARBOUR, ZX'
+   'HB2'\t=\t'HARBOUR, ZX; second'
 ;
 value i94model
-\t1 = 'Air'
-\t9 = 'Not reported' ;
+\t4 = 'Ferry'
+\t8 = 'On foot' ;
 value i94addrl
-\t'AL'='ALABAMA'
-\t'WY'='WYOMING'\x20
-\t'99'='All Other Codes' ;
-
-/* I94VISA - Visa codes collapsed into three categories:
-   1 = Business
-   2 = Pleasure
-   3 = Student
+\t'ZX'='ZEXIA'
+\t'ZY'='ZEYLAND'\x20
+\t'98'='Somewhere Else' ;
+
+/* I94VISA - a list that stands in a comment only:
+   5 = Trade
+   6 = Holiday
+   7 = School
 */
 """
 
@@ -151,27 +151,24 @@ def test_label_blocks(spark):
     scripts = one(spark, "value string", LABELS)
     parsed = parse_value_blocks(scripts)
     assert rows(pick_list(parsed, "i94cntyl", "country", "int")) == [
-        (236, "AFGHANISTAN"), (582, "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)"),
-        (996, "No Country Code (996)"),
+        (412, "EASTMARK"), (711, "NORTHMARK by Ferry, and Not Named (N-1, no other ways)"), (903, "Unlisted Place (903)"),
     ]
     assert rows(pick_list(parsed, "i94prtl", "port")) == [
-        ("ALC", "ALCAN, AK"), ("AT2", "ATLANTA, GA; second"), ("ATL", "ATLANTA, GA"), ("CP", "No PORT Code (CP)"),
-        ("INT", "INT'L FALLS, MN"),
-    ]
-    assert rows(pick_list(parsed, "i94model", "travel", "int")) == [(1, "Air"), (9, "Not reported")]
-    assert rows(pick_list(parsed, "i94addrl", "state")) == [
-        ("99", "All Other Codes"), ("AL", "ALABAMA"), ("WY", "WYOMING"),
+        ("HB2", "HARBOUR, ZX; second"), ("HBR", "HARBOUR, ZX"), ("ONE", "O'NEIL PIER, ZY"), ("QAB", "QUAY BAY, ZZ"),
+        ("XP", "Pier Not Named (XP)"),
     ]
+    assert rows(pick_list(parsed, "i94model", "travel", "int")) == [(4, "Ferry"), (8, "On foot")]
+    assert rows(pick_list(parsed, "i94addrl", "state")) == [("98", "Somewhere Else"), ("ZX", "ZEXIA"), ("ZY", "ZEYLAND")]
 
 
 def test_comment_list(spark):
     parsed = parse_comment_list(one(spark, "value string", LABELS), "I94VISA")
-    assert rows(pick_list(parsed, "i94visa", "visa", "int")) == [(1, "Business"), (2, "Pleasure"), (3, "Student")]
+    assert rows(pick_list(parsed, "i94visa", "visa", "int")) == [(5, "Trade"), (6, "Holiday"), (7, "School")]
 
 
 def test_reverse_list_later_wins(spark):
     ports = parse_value_blocks(one(spark, "value string", LABELS)).filter(F.col("block") == "i94prtl")
-    assert dict(rows(reverse_list(ports, "label", "pos")))["ATLANTA"] == "AT2"
+    assert dict(rows(reverse_list(ports, "label", "pos")))["HARBOUR"] == "HB2"
 
 
 def test_repeated_code_keeps_last_label(spark):
@@ -189,7 +186,7 @@ def test_path_steps():
 
 def test_stage_json_mapping(spark):
     lines = spark.createDataFrame(
-        [('{"userId":"39","n":{"ts":1541105830796},"length":246.3}',), ('{"userId":"","n":{}}',), ("broken",)], "value string"
+        [('{"userId":"39","n":{"ts":1541052920350},"length":246.3}',), ('{"userId":"","n":{}}',), ("broken",)], "value string"
     )
     mapping = {
         "length": ("$.length", "double"), "user_id": ("$['userId']", "int"),
@@ -198,7 +195,7 @@ def test_stage_json_mapping(spark):
     got = stage_json(lines, "value", mapping)
     assert got.columns == ["length", "user_id", "start", "ts"]
     assert [tuple(r) for r in got.collect()] == [
-        (246.3, 39, dt.datetime(2018, 11, 1, 20, 57, 10, 796000), 1541105830796),
+        (246.3, 39, dt.datetime(2018, 11, 1, 6, 15, 20, 350000), 1541052920350),
         (None, None, None, None), (None, None, None, None),
     ]
     with pytest.raises(ValueError, match="both"):

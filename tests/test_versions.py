@@ -167,3 +167,24 @@ def test_a_table_without_versions_is_taken_over(spark, folder):
     assert rows(read_table(spark, DAYS, folder)) == [(1, "A", "07"), (2, "b", None), (3, "c", "08")]
     clean_up(spark, folder)
     assert rows(read_table(spark, DAYS, folder)) == [(1, "A", "07"), (2, "b", None), (3, "c", "08")]
+
+
+NUMBERED = TableSpec("numbered", schema_of("n bigint, v string"), key=("n",))
+
+
+def test_numbers_go_on_and_a_lost_run_takes_none(spark, folder):
+    def load(*values, lost=False):
+        with Change(spark, folder) as change:
+            change.append_numbered(spark.createDataFrame([(v,) for v in values], "v string"), NUMBERED, "n", ["v"], start=5)
+            change.audit(NUMBERED)
+            if lost:
+                raise RuntimeError("lost")
+
+    load("b", "a")
+    with pytest.raises(RuntimeError, match="lost"):
+        load("x", "y", "z", lost=True)
+    load("d", "c")
+    assert rows(read_table(spark, NUMBERED, folder)) == [(5, "a"), (6, "b"), (7, "c"), (8, "d")]
+    put(spark, folder, PLAIN, (1, "a"))
+    load("e")
+    assert rows(read_table(spark, NUMBERED, folder))[-1] == (9, "e")
