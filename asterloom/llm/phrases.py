@@ -21,7 +21,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.keys import identity_key
 from ..scratch import materialise
 from .fm_index import BidirectionalIndex, Phrases
 from .textops import LOWER, each_slice
@@ -43,8 +42,8 @@ SHARD_SCHEMA = pa.schema([
 ])
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """All words of some texts, the text of each, and whether a piece of text begins with it."""
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts, and whether a piece of text begins with each."""
     data = LOWER[data]
     kind = BYTE_KIND[data]
     inside = np.zeros(len(data) + 2, bool)
@@ -60,9 +59,9 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray,
     # Words and what lies between them by turns; every other one is taken.
     cuts = np.column_stack([starts, stops]).ravel()
     if not len(cuts):
-        return pa.array([], pa.large_string()), text, begins
+        return pa.array([], pa.large_string()), begins
     raw = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data))
-    return raw.take(pa.array(np.arange(0, len(cuts), 2))), text, begins
+    return raw.take(pa.array(np.arange(0, len(cuts), 2))), begins
 
 
 def _with_breaks(numbers: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -79,28 +78,23 @@ def _shards(shard_bytes: int):
         task = TaskContext.get()
         shard = (task.partitionId() if task else 0) << 33
         for whole in batches:
-            # A slice then has few languages, each in one run of texts.
             whole = whole.take(pc.sort_indices(whole, sort_keys=[("lang", "ascending")]))
-            for batch, first, last, data, offsets in each_slice([whole], shard_bytes):
-                words, text, begins = _words(data, offsets)
-                langs = batch.column("lang").slice(first, last - first)
-                runs = langs.dictionary_encode().indices.to_numpy()[text]
-                edges = np.flatnonzero(np.diff(runs, prepend=-1, append=-1)) if len(runs) else np.zeros(0, np.int64)
-                for a, b in zip(edges, edges[1:]):
-                    found = words.slice(a, b - a).dictionary_encode()
-                    local = found.indices.to_numpy()
-                    many = len(found.dictionary)
-                    lang = langs[int(text[a])].as_py()
-                    counts = np.bincount(local, minlength=many)
+            langs = whole.column("lang").dictionary_encode()
+            edges = np.flatnonzero(np.diff(langs.indices.to_numpy(), prepend=-1, append=-1)) if whole.num_rows else []
+            for a, b in zip(edges, edges[1:]):
+                lang = whole.column("lang")[int(a)].as_py()
+                for _, _, _, data, offsets in each_slice([whole.slice(a, b - a)], shard_bytes):
+                    words, begins = _words(data, offsets)
+                    found = words.dictionary_encode()
+                    local, many = found.indices.to_numpy(), len(found.dictionary)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(many, shard)), pa.array([lang]).take(pa.array(np.zeros(many, np.int8))),
-                        found.dictionary.cast(pa.string()), pa.array(np.arange(1, many + 1, dtype=np.int32)), pa.array(counts),
-                        pa.nulls(many, pa.binary()),
+                        found.dictionary.cast(pa.string()), pa.array(np.arange(1, many + 1, dtype=np.int32)),
+                        pa.array(np.bincount(local, minlength=many)), pa.nulls(many, pa.binary()),
                     ], schema=SHARD_SCHEMA)
-                    sequence = _with_breaks(local + 1, begins[a:b]).tobytes()
                     yield pa.RecordBatch.from_arrays([
                         pa.array([shard], pa.int64()), pa.array([lang]), pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()),
-                        pa.nulls(1, pa.int64()), pa.array([sequence], pa.binary()),
+                        pa.nulls(1, pa.int64()), pa.array([_with_breaks(local + 1, begins).tobytes()], pa.binary()),
                     ], schema=SHARD_SCHEMA)
                     shard += 1
     return run
@@ -184,8 +178,31 @@ def _longer(longest: int):
     return run
 
 
-def _summed(rows: DataFrame, names: list[str], least: int) -> DataFrame:
-    return rows.groupBy(*names).agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+def _frequent(rows: DataFrame, names: list[str], least: int) -> DataFrame:
+    """The shards' rows of what is frequent in all of them together, with its sum `a`.
+
+    One shuffle sums the counts and keeps who has them, so nothing is joined
+    back; a group has a row for each shard at most.
+    """
+    total = F.sum("n").over(Window.partitionBy(*names))
+    return rows.withColumn("a", total).filter(F.col("a") >= least)
+
+
+def _keyed(counted: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of the frequent words in each shard, frequent words), with a number for each word.
+
+    The number is a 64-bit hash; should two frequent words share one, all are
+    numbered anew by another.
+    """
+    found = materialise(_frequent(counted, ["lang", "word"], least).select("shard", "lang", "word", "local", "a"), "frequent")
+    distinct = materialise(found.groupBy("lang", "word").agg(F.first("a").alias("a")), "words")
+    seed = 0
+    while True:
+        key = F.xxhash64(F.lit(seed), "lang", "word").alias("key")
+        words = distinct.select("lang", "word", "a", key)
+        if words.groupBy("key").count().filter("count > 1").isEmpty():
+            return found.select("shard", "local", key), words
+        seed += 1
 
 
 def count_phrases(
@@ -199,31 +216,31 @@ def count_phrases(
     and `.,;:!?` and line ends break a text into pieces that no phrase crosses.
     A null text is empty, a null language is `und`.
 
-    A shard is the texts of one language in a slice of a table's rows, about
-    `shard_bytes`; a longer text is a shard of its own.
+    A shard is texts of one language, about `shard_bytes`; a longer text is a
+    shard of its own.
     """
     texts = df.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("string").alias("text"))
     shards = materialise(texts.mapInArrow(_shards(shard_bytes), SHARD_COLUMNS), "shards")
     counted = shards.filter("word is not null").select("shard", "lang", "word", "local", "n")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = materialise(identity_key(_summed(counted, ["lang", "word"], least), "key", ["lang", "word"]), "words")
-    codes = counted.select("shard", "lang", "word", "local").join(frequent.select("lang", "word", "key"), ["lang", "word"])
+    codes, frequent = _keyed(counted, least)
     codes = codes.groupBy("shard").agg(F.collect_list(F.struct("local", "key")).alias("codes"))
     sequences = shards.filter("sequence is not null").select("shard", "sequence")
     coded = materialise(
         sequences.join(codes, "shard").select("shard", "sequence", "codes").mapInArrow(_recode, "shard long, sequence binary, words binary"),
         "coded")
-    pairs = materialise(coded.mapInArrow(_pairs, "shard long, w1 long, w2 long, n long"), "pairs")
-    two = materialise(_summed(pairs, ["w1", "w2"], least), "two")
+    pairs = coded.mapInArrow(_pairs, "shard long, w1 long, w2 long, n long")
+    pairs = materialise(_frequent(pairs, ["w1", "w2"], least).select("shard", "w1", "w2", "a"), "pairs")
+    two = pairs.groupBy("w1", "w2").agg(F.first("a").alias("a"))
     parts = [frequent.select(F.array("key").alias("words"), "a"), two.select(F.array("w1", "w2").alias("words"), "a")]
     if longest > 2:
-        there = pairs.select("shard", "w1", "w2").join(two.select("w1", "w2"), ["w1", "w2"])
-        there = there.groupBy("shard").agg(F.collect_list(F.struct("w1", "w2")).alias("pairs"))
+        there = pairs.groupBy("shard").agg(F.collect_list(F.struct("w1", "w2")).alias("pairs"))
         names = [f"w{k + 1}" for k in range(longest)]
         kinds = ", ".join(f"{n} long" for n in [*names, "n"])
         longer = coded.join(there, "shard").select("sequence", "words", "pairs").mapInArrow(_longer(longest), kinds)
-        parts.append(_summed(longer, names, least).select(F.array_compact(F.array(*names)).alias("words"), "a"))
+        summed = longer.groupBy(*names).agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+        parts.append(summed.select(F.array_compact(F.array(*names)).alias("words"), "a"))
     phrases = parts[0]
     for part in parts[1:]:
         phrases = phrases.unionAll(part)
