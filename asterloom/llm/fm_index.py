@@ -43,9 +43,10 @@ class _Transform:
                 key = (key << bits) | padded[k : k + n]
             order = order[np.argsort(key[order], kind="stable")]
         self.before = sequence[order - 1]  # the first place follows the last one
+        del order, padded
         by_word = np.argsort(self.before, kind="stable")
-        self.last_to_first = np.empty(n, np.int64)
-        self.last_to_first[by_word] = np.arange(n)
+        self.last_to_first = np.empty(n, np.int32)
+        self.last_to_first[by_word] = np.arange(n, dtype=np.int32)
 
     def extend(self, start: np.ndarray, size: np.ndarray, other: np.ndarray, highest: int):
         """(phrase, word, how often, place here, place in the other order) of every extension."""
@@ -53,11 +54,12 @@ class _Transform:
         rows = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
         phrase = np.repeat(np.arange(len(size)), size)
         key = phrase * (highest + 1) + self.before[rows]
+        del phrase
         order = np.argsort(key, kind="stable")
         key = key[order]
         group = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         many = np.diff(np.append(group, len(key)))
-        phrase, word = phrase[order[group]], key[group] % (highest + 1)
+        phrase, word = key[group] // (highest + 1), key[group] % (highest + 1)
         here = self.last_to_first[rows[order[group]]]
         there = other[phrase] + group - (ends - size)[phrase]
         found = np.flatnonzero(word)  # 0 ends a piece of text

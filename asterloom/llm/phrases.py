@@ -25,7 +25,7 @@ from ..scratch import materialise
 from .fm_index import BidirectionalIndex, Phrases
 from .textops import LOWER, each_slice
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 LONGEST = 5
 LEAST = 100
 UNKNOWN = "und"
@@ -52,10 +52,12 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]
     edge[offsets] = True
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
     stops = np.flatnonzero(inside[:-1] & (~inside[1:] | edge))
+    del inside, edge
     text = np.searchsorted(offsets, starts, "right") - 1
-    breaks = np.cumsum(kind == BREAK, dtype=np.int64)[starts] if len(starts) else np.zeros(0, np.int64)
+    breaks = np.cumsum(kind == BREAK, dtype=np.int32)[starts] if len(starts) else np.zeros(0, np.int32)
     begins = np.ones(len(starts), bool)
     begins[1:] = (text[1:] != text[:-1]) | (breaks[1:] != breaks[:-1])
+    del text, breaks, kind
     # Words and what lies between them by turns; every other one is taken.
     cuts = np.column_stack([starts, stops]).ravel()
     if not len(cuts):
