@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import materialise
-from .textops import each_slice
+from .textops import each_slice, unused
 from .word_ids import word_ids
 
 CAPACITY = 2048
@@ -277,12 +277,6 @@ def _pieces(content: str, capacity: int):
     return run
 
 
-def unused(columns: list[str], *names: str) -> list[str]:
-    """The names with as many underscores before them as make them new among `columns`."""
-    taken = {c.lower() for c in columns}
-    return [next(n for k in range(1, len(taken) + 2) if (n := "_" * k + name) not in taken) for name in names]
-
-
 def token_pieces(
     df: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

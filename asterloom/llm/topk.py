@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 SEGMENTS = (1, 4, 16)
 CHUNK = 4096  # candidate rows compared at once
 MAX_QUERIES = 20_000  # of one broadcast block of queries
+TILE = 512  # queries whose coarse bounds are held at once: TILE * CHUNK numbers, 16 MB
 EXACT = float(1 << 53)
 
 
@@ -51,11 +52,12 @@ class Queries:
         largest = float(np.abs(vectors).max(initial=0)) * float(np.abs(self.vectors).max(initial=0)) * vectors.shape[1]
         whole = vectors if largest < EXACT else vectors.astype(np.int64)
         slack = 1e-9 * max(largest, 1.0)
-        coarse = self.levels[0] @ levels[0].T
         for q in range(len(self.ids)):
+            if q % TILE == 0:
+                coarse = self.levels[0][q : q + TILE] @ levels[0].T
             full = self.found[q] >= self.k
             least = float(self.score[q, -1]) - slack if full else -np.inf
-            left = np.flatnonzero((coarse[q] >= least) & (ids != self.ids[q]))
+            left = np.flatnonzero((coarse[q % TILE] >= least) & (ids != self.ids[q]))
             if full:
                 for mine, theirs in zip(self.levels[1:], levels[1:], strict=True):
                     if not len(left):
@@ -143,7 +145,7 @@ def top_k(df: DataFrame, query_ids, k: int = 5, scale: int = 256, id_col: str =
     found = spark.createDataFrame([], schema)
     block = F.pmod(F.xxhash64("vec_id"), F.lit(max(blocks, 1)))
     for b in range(blocks):
-        got = wanted.filter(block == b).dropDuplicates(["vec_id"]).toArrow()
+        got = wanted.filter(block == b).groupBy("vec_id").agg(F.min("vector").alias("vector")).toArrow()
         ids = got.column("vec_id").to_numpy()
         shared = spark.sparkContext.broadcast((ids, *_matrix(got.column("vector"))))
         best = rows.mapInArrow(_search_batches(shared, k), schema)

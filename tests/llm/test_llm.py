@@ -229,6 +229,19 @@ def test_cut_passages_leave_the_rest(spark, documents):
     assert words(kept[9006]) == [] and kept[9001] is None and kept[9002] == "" and kept[9004] == "One"
 
 
+def test_cut_passages_keep_columns_of_any_name(spark, documents):
+    names = ["__id", "__tie", "_id", "_tie", "_text", "_passages", "passages", "a b"]
+    rows = [(i, t, *[f"{n}{k}" for n in names]) for k, (i, t, _) in enumerate(documents)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    cut = passages.without_passages(df)
+    assert cut.columns == df.columns
+    found = sorted([tuple(r) for r in cut.collect()], key=repr)
+    assert [r[:1] + r[2:] for r in found] == [r[:1] + r[2:] for r in sorted(rows, key=repr)]
+    plain = passages.without_passages(df.select("doc_id", "text")).collect()
+    assert sorted([(r.doc_id, r.text) for r in plain], key=repr) == sorted([r[:2] for r in found], key=repr)
+    assert passages.without_passages(df.limit(0)).count() == 0
+
+
 def test_compact_windows_are_those_of_the_tree():
     rng = np.random.default_rng(2)
     values = rng.permutation(200).astype(np.uint64) << np.uint64(40)
@@ -381,6 +394,30 @@ def test_labels_are_whole_tokens_or_known_compounds(page, expected):
     assert html_text.main_text(page).split("\n") == expected
 
 
+def test_top_k_of_repeated_ids(spark):
+    """The least vector of a query's id asks; every row of a repeated candidate can be found."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 3.0]), (1, [4.0, 1.0]), (2, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for n in (1, 4):
+        found = topk.top_k(df.repartition(n), F.col("vec_id") == 0, k=3, scale=1)
+        assert [tuple(r) for r in found.orderBy("rank").collect()] == [(0, 1, 1, 3), (0, 2, 1, 1), (0, 3, 2, 1)]
+
+
+def test_top_k_holds_bounds_of_a_tile_only():
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    queries = topk.Queries(np.arange(topk.MAX_QUERIES), np.floor(rng.normal(size=(topk.MAX_QUERIES, 8)) * 256), 5)
+    rows = np.floor(rng.normal(size=(topk.CHUNK, 8)) * 256)
+    tracemalloc.start()
+    queries.offer(np.arange(10**6, 10**6 + topk.CHUNK), rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
+    best = np.sort(queries.vectors[:50] @ rows.T, axis=1)[:, ::-1][:, :5]
+    assert (queries.score[:50] == best).all()
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(400, 20)).astype(np.float32)
