@@ -6,12 +6,17 @@ walk of their trie; the path from the root is all that is held. Every node
 suffix of the prefix whose token may follow the last token of the rest: two
 tokens may stand side by side if merging their units gives just these two. A
 shared prefix is therefore encoded once, and a word's tokens are read off by
-walking back from its end.
+walking back from its end. Which suffixes of a prefix are tokens at all is known
+from a second trie, that of the tokens, with links from each node to its longest
+proper suffix: every node of the words' trie keeps its place there too.
 """
 
 from __future__ import annotations
 
+import gc
 import json
+from array import array
+from collections import deque
 from functools import lru_cache
 
 import numpy as np
@@ -57,9 +62,9 @@ class Vocabulary:
         self.blank = regex.compile(spec["normalizer"]["normalizers"][1]["pattern"]["Regex"])
         self.words = regex.compile(steps[0]["pattern"]["Regex"])
         self.ranks = {tuple(x if isinstance(x, list) else x.split(" ")): i for i, x in enumerate(model["merges"])}
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.ids)
         self.sizes = {i: len(self._units(t)) for t, i in self.ids.items()}
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
+        self._link_tokens()
         self.alone: dict[int, bool] = {}
         self.beside: dict[int, bool] = {}  # by left << 20 | right
         self.chunks: dict[str, tuple[bytes, str]] = {}
@@ -94,13 +99,50 @@ class Vocabulary:
         a, b = self.names[left], self.names[right]
         return self._merge([*self._units(a), *self._units(b)]) == [a, b]
 
-    def _last_token(self, word: str, stop: int, states: list[int], end: str) -> int:
-        """The last token of word[:stop]; states hold those of shorter prefixes."""
-        find, beside = self.ids.get, self.beside
-        for start in range(max(stop - self.longest, 0), stop):
-            token = find(word[start:stop] + end) if end else find(word[start:stop])
-            if token is None:
-                continue
+    def _link_tokens(self) -> None:
+        """The trie of the tokens: for each node its longest proper suffix and all tokens that are suffixes of it.
+
+        `inside` has those that may stand within a word, `closing` those for its
+        end; both have the longest first.
+        """
+        self.following: list[dict[str, int]] = [{}]
+        self.suffix, self.inside, self.closing = [0], [()], [()]
+        for name, token in self.ids.items():
+            closes = bool(self.end) and name.endswith(self.end) and len(name) > len(self.end)
+            node = 0
+            for letter in name.removesuffix(self.end) if closes else name:
+                if letter not in self.following[node]:
+                    self.following[node][letter] = len(self.following)
+                    self.following.append({})
+                    self.suffix.append(0)
+                    self.inside.append(())
+                    self.closing.append(())
+                node = self.following[node][letter]
+            if not closes:
+                self.inside[node] = (token,)
+            if closes or not self.end:
+                self.closing[node] = (token,)
+        waiting = deque(self.following[0].values())
+        while waiting:  # by depth, so that a node's suffix is done before it
+            node = waiting.popleft()
+            self.inside[node] += self.inside[self.suffix[node]]
+            self.closing[node] += self.closing[self.suffix[node]]
+            for letter, child in self.following[node].items():
+                self.suffix[child] = self._step(self.suffix[node], letter)
+                waiting.append(child)
+
+    def _step(self, node: int, letter: str) -> int:
+        """The node of the longest suffix that begins a token, one letter further."""
+        following = self.following
+        while node and letter not in following[node]:
+            node = self.suffix[node]
+        return following[node].get(letter, 0)
+
+    def _last_token(self, word: str, stop: int, states: list[int], tokens: tuple[int, ...]) -> int:
+        """The last token of word[:stop], one of `tokens`; states hold those of shorter prefixes."""
+        beside, sizes = self.beside, self.sizes
+        for token in tokens:
+            start = stop - sizes[token]
             if start:
                 pair = states[start] << 20 | token
                 fits = beside.get(pair)
@@ -115,16 +157,18 @@ class Vocabulary:
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
         """Token ids of each distinct word, given in byte letters."""
         out: dict[str, list[int]] = {}
-        states: list[int] = [-1]
-        before, last_token, sizes = "", self._last_token, self.sizes
+        states, nodes = [-1], [0]  # of every prefix of the word before
+        before, last_token, sizes, step = "", self._last_token, self.sizes, self._step
         for word in sorted(words):
             shared, most = 0, min(len(word), len(before)) - 1
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del states[shared + 1 :]
+            del states[shared + 1 :], nodes[shared + 1 :]
             for stop in range(shared + 1, len(word)):
-                states.append(last_token(word, stop, states, ""))
-            token = last_token(word, len(word), states, self.end)
+                node = step(nodes[-1], word[stop - 1])
+                nodes.append(node)
+                states.append(last_token(word, stop, states, self.inside[node]))
+            token = last_token(word, len(word), states, self.closing[step(nodes[-1], word[-1])])
             tokens, stop = [token], len(word) - sizes[token]
             while stop:
                 token = states[stop]
@@ -150,11 +194,14 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", chunk)
             # Letter by letter: a sigma at the end of a word is lowered like any other.
             text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-            parts[chunk] = ["".join([letters[b] for b in w.encode()]) for w in self.words.findall(text)]
+            # Printable ASCII without blanks stands for itself.
+            parts[chunk] = [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(letters)
+                            for w in self.words.findall(text)]
         tokens = self.encode_words(list({w for ws in parts.values() for w in ws}))
+        names = self.names
         for chunk, ws in parts.items():
             ids = [t for w in ws for t in tokens[w]]
-            self.chunks[chunk] = (np.array(ids, np.int32).tobytes(), " ".join([self.names[t] for t in ids]))
+            self.chunks[chunk] = (array("i", ids).tobytes(), " ".join([names[t] for t in ids]))
 
     def split(self, text: str) -> list[str]:
         """Runs without blanks; special tokens are runs of their own."""
@@ -186,9 +233,18 @@ def vocabulary(content: str) -> Vocabulary:
     return Vocabulary(content)
 
 
+@lru_cache(maxsize=2)
+def lasting_vocabulary(content: str) -> Vocabulary:
+    """The vocabulary of a worker: the collector needn't go through its tables again and again."""
+    words = vocabulary(content)
+    gc.collect()
+    gc.freeze()
+    return words
+
+
 def _encode_batches(content: str):
     def run(batches):
-        words = vocabulary(content)
+        words = lasting_vocabulary(content)
         for batch, first, last, data, offsets in each_slice(batches, SLICE):
             raw = data.tobytes()
             texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])]
