@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import time
 import zlib
 from functools import lru_cache
 
@@ -394,6 +395,36 @@ def test_labels_are_whole_tokens_or_known_compounds(page, expected):
     assert html_text.main_text(page).split("\n") == expected
 
 
+SAID = "<p>One, two. Three, four! Five.</p>"
+
+
+@pytest.mark.parametrize("around", [
+    '<main>%s<ol class="comment-list">' + SAID * 9 + "</ol></main>",
+    '<div>%s</div><div class="cookie-consent">' + SAID * 99 + "</div>",
+    *(f'<article>%s<div class="{name}">{SAID * 9}</div></article>' for name in (
+        "related-posts", "share-this", "userComments", "reader-responses", "adSlot", "x newsletter-signup-box")),
+    '<body><form id="page"><input type="hidden"><input name="q">%s</form></body>',
+    '<body><form class="search"><input><main>%s</main></form></body>',
+    "<body><div>%s</div><form><input><textarea></textarea><p>Leave a reply. It is never shown.</p></form></body>",
+])
+def test_boilerplate_goes_by_its_name_whatever_its_size(around):
+    assert html_text.main_text(around % f"<p>{LONG}</p>{SAID * 4}").split("\n") == [LONG.strip(), *["One, two. Three, four! Five."] * 4]
+
+
+def test_links_of_an_article_stay():
+    page = f'<ul><li><a href="y">Menu</a></li></ul><article><p>{LONG}</p><ul><li><a href="x">Source</a></li></ul></article>'
+    assert html_text.main_text(page).split("\n") == [LONG.strip(), "Source"]
+    assert html_text.main_text('<article><p><a href="x">Only this</a></p></article>') == "Only this"
+
+
+@pytest.mark.parametrize("piece", ["<div>t. ", "<b>", "<div>", "<div>t. </x>", "<b><td>u. "])
+def test_deep_pages_take_time_by_their_length(piece):
+    start = time.process_time()
+    found = html_text.main_text(piece * 20_000)
+    assert time.process_time() - start < 8  # 0.1 to 0.5 s; hours if by depth
+    assert found.count(".") == 20_000 * piece.count(".")
+
+
 def test_top_k_of_repeated_ids(spark):
     """The least vector of a query's id asks; every row of a repeated candidate can be found."""
     rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 3.0]), (1, [4.0, 1.0]), (2, [1.0, 1.0])]
