@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # A hot join key is split at run time even where the split costs one more
-# shuffle: a third of all rows may sit under one key.
+# shuffle: a third of all rows may sit under one key. Rows go to Python in
+# batches of bounded size, since a worker keeps several copies of one.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
