@@ -297,6 +297,48 @@ def test_kneser_ney_probabilities_sum_to_one(spark):
     assert after_th.argmax() == ord("e") - ord("a")
 
 
+def test_kneser_ney_is_that_of_the_formula(spark):
+    texts = ["the cat sat on the mat. the cat ate.", "", "a dog, a log! the dog sat", "Eté 12; 中文 the log"] * 2 + ["once more: the mat"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    table = charmodel.Model(charmodel.train(charmodel.count_ngrams(df))).table()
+    raw = [t.encode() for t in texts]
+    keys, _ = charmodel.symbol_keys(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
+    counts = {4: collections.Counter(keys.tolist())}
+    for level in (3, 2, 1):
+        counts[level] = collections.Counter(k % 64**level for k in counts[level + 1])
+
+    def discount(level, n):
+        seen = collections.Counter(counts[level].values())
+        y = seen[1] / (seen[1] + 2 * seen[2]) if seen[1] else 0.5
+        k = min(n, 3)
+        value = k - (k + 1) * y * (seen[k + 1] / seen[k] if seen[k] else 0)
+        return min(max(value, 0.1), k, n)
+
+    def probability(level, key):
+        if not level:
+            return 1 / 63
+        followers = {k: n for k, n in counts[level].items() if k // 64 == key // 64}
+        wider = probability(level - 1, key % 64 ** (level - 1))
+        if not followers:
+            return wider
+        total, taken = sum(followers.values()), sum(discount(level, n) for n in followers.values())
+        n = followers.get(key, 0)
+        return ((n - discount(level, n) if n else 0) + taken * wider) / total
+
+    some = [*counts[4], *np.random.default_rng(1).integers(0, 64**4, 200).tolist(), *(k // 64 * 64 + 4 for k in list(counts[4])[:40])]
+    assert np.allclose(np.exp(table[some]), [probability(4, k) for k in some], rtol=1e-4)
+
+
+def test_quality_fits_on_a_bounded_sample(spark, docs, documents):
+    """Only the fit is bounded: every row is scored, and all trusted texts make the thresholds."""
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    whole, part = ({(r.doc_id, r.n_symbols): r for r in score_quality(docs, labels, **x).collect()} for x in ({}, {"fitted": 5}))
+    assert whole.keys() == part.keys()
+    assert any(abs(whole[k].perplexity - part[k].perplexity) > 1e-6 for k in whole)
+    label = {r.doc_id: r.quality for r in labels.collect()}
+    assert np.mean([part[k].kept for k in part if label.get(k[0]) == 1]) > 0.95
+
+
 def test_quality_rejects_junk_and_keeps_clean_text(spark, docs, documents, nothing):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     got = score_quality(docs, labels).collect()
