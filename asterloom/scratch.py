@@ -39,7 +39,9 @@ def materialise(df: DataFrame, label: str = "step") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -62,3 +64,13 @@ def discard(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table nobody reads any more."""
     files, target = _file_system(spark, path)
     files.delete(target, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Discard tables that `materialise` returned, once nothing will read them again.
+
+    What was computed from them must have been written, too: a DataFrame that
+    still reads a released table fails.
+    """
+    for table in tables:
+        discard(table.sparkSession, table._scratch_path)

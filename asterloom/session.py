@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 # A hot join key is split at run time even where the split costs one more
 # shuffle: a third of all rows may sit under one key. Rows go to Python in
-# batches of bounded size, since a worker keeps several copies of one.
+# batches of bounded size, since a worker keeps several copies of one. Shuffle
+# files go when the query that wrote them has ended: what later steps read is
+# written as a table, and a DataFrame that runs again shuffles again.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -14,6 +16,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
