@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import materialise
+from ..scratch import materialise, release
 from .textops import U, Words, each_slice, mix
 
 STRENGTH = 50.0  # unigram counts worth this many tokens are added to each context
@@ -212,6 +212,7 @@ def score_difference(df: DataFrame, target_ids: DataFrame, id_col: str = "doc_id
         "key", F.col("target").alias("a_t"), F.col("background").alias("a_b"), "c_t", "c_b", "texts")
     table = materialise(table.union(words.select(
         "key", "target", "background", F.col("target_after"), F.col("background_after"), "texts")), "ngrams")
+    release(counts)
     # The least count of texts, in steps of a tenth, from which n-grams are few enough.
     step = F.floor(F.log(F.col("texts").cast("double")) * 10)
     least, n = None, 0
