@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.quality import completeness, duplicate_keys, null_counts, orphan_counts, row_counts
+from ..operators.stored import stored_schema_differences
+from ..schemas import schema_of
+from ..scratch import scratch_path
 from .base import query
 
 
@@ -46,6 +49,26 @@ def dq_completeness(t):
     return completeness(facts, facts.join(t.part.select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"), "left"))
 
 
+_ORDERS = schema_of("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz")
+
+
+@query("""
+    SELECT o_orderkey, 'o_totalprice is string, not double' AS difference FROM orders WHERE o_orderstatus = 'P'
+""")
+def stored_schema(t):
+    """Orders stored by status, one status with a price as text: the rows of the files whose footers say so."""
+    root = scratch_path(t.spark, "orders")
+    for status, kind in (("F", "double"), ("O", "double"), ("P", "string")):
+        rows = t.orders.filter(F.col("o_orderstatus") == status).select(*_ORDERS.fieldNames())
+        rows.withColumn("o_totalprice", F.col("o_totalprice").cast(kind)).write.parquet(f"{root}/o_orderstatus={status}")
+    found = stored_schema_differences(t.spark, root, _ORDERS)
+    rows = t.spark.createDataFrame([], "o_orderkey bigint, difference string")
+    for difference in sorted({d for _, d in found}):
+        files = t.spark.read.parquet(*(file for file, d in found if d == difference))
+        rows = rows.unionByName(files.select("o_orderkey", F.lit(difference).alias("difference")))
+    return rows
+
+
 @query("""
     SELECT 'customer' AS "check", count(*) AS n FROM (SELECT DISTINCT o_custkey FROM orders) o
     WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)
