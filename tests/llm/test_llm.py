@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from asterloom.llm import bpe, charmodel, components, decontam, exact_substrings, html_text, langid, lm_scores, near_dups, passages, topk
+from asterloom.llm import bpe, charmodel, components, decontam, exact_substrings, html_text, langid, lm_scores, near_dups, passages, quality, topk
 from asterloom.llm.lm_scores import score_difference
 from asterloom.llm.quality import score_quality
 from asterloom.llm.textops import Words
@@ -339,6 +339,28 @@ def test_quality_fits_on_a_bounded_sample(spark, docs, documents):
     assert np.mean([part[k].kept for k in part if label.get(k[0]) == 1]) > 0.95
 
 
+def test_quality_fits_on_every_trusted_text(spark, monkeypatch):
+    """However many ids are trusted, and whether or not they can be broadcast."""
+    n, seen = (1 << 18) + 500, []
+
+    def recorded(texts):
+        seen.append((texts.count(), texts.agg(F.sum("doc_id")).first()[0]))
+        return charmodel.count_ngrams(texts)
+
+    monkeypatch.setattr(quality, "count_ngrams", recorded)
+    docs = spark.range(n + 100).select(F.col("id").alias("doc_id"), F.hex("id").alias("text"), F.lit("en").alias("lang"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    got = [score_quality(docs, labels).agg(F.count("*"), F.count_if("kept"), F.first("threshold")).first()]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got.append(score_quality(docs, labels).agg(F.count("*"), F.count_if("kept"), F.first("threshold")).first())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert seen == [(n, n * (n - 1) // 2)] * 2
+    assert got[0][:2] == got[1][:2] and got[0][0] == n + 100 and got[0][2] == pytest.approx(got[1][2], rel=1e-6)
+
+
 def test_quality_rejects_junk_and_keeps_clean_text(spark, docs, documents, nothing):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     got = score_quality(docs, labels).collect()
