@@ -18,6 +18,8 @@ from ..sources.files import read_csv, read_table, read_tables
 from ..sources.staging import stage_json
 from .base import query
 
+RAW_LINES = 1 << 19
+
 
 def _catalogue(t):
     """Parts as songs, brands as artists."""
@@ -60,6 +62,14 @@ def _log(t):
     )
 
 
+def write_raw(rows, path):
+    """Raw JSON lines, gzipped: as text the log is many times the size of its tables.
+
+    A gzipped file is read by one task, so none gets more than RAW_LINES lines.
+    """
+    rows.write.option("compression", "gzip").option("maxRecordsPerFile", RAW_LINES).json(path)
+
+
 @query("""
     SELECT format('S{:012d}', p_partkey) AS song_id, p_name || ' ' || CAST(p_partkey AS VARCHAR) AS title,
            p_brand AS artist_id, 'The ' || p_brand AS name, l.location, l.longitude, CAST(p_size AS DOUBLE) AS duration,
@@ -70,7 +80,7 @@ def _log(t):
 def catalogue_star(t):
     """Catalogue files to songs and artists, joined again."""
     root = scratch_path(t.spark, "catalogue")
-    _catalogue(t).write.json(root)
+    write_raw(_catalogue(t), root)
     staged = music.stage_catalogue(t.spark, root)
     songs, artists = music.songs_dim(staged), music.artists_dim(staged)
     found = songs_with_artists(songs, artists, ["artist_name", "location", "longitude"])
@@ -96,8 +106,8 @@ _PLAYS_SQL = """
 def log_star(t):
     """Log and catalogue built into a partitioned fact, three-key left join."""
     root = scratch_path(t.spark, "log-star")
-    _catalogue(t).write.json(f"{root}/raw/catalogue")
-    _log(t).write.json(f"{root}/raw/log")
+    write_raw(_catalogue(t), f"{root}/raw/catalogue")
+    write_raw(_log(t), f"{root}/raw/log")
     log = music.stage_log(t.spark, f"{root}/raw/log", page=music.PLAY_PAGE)
     fact = music.songplays_fact(log, music.stage_catalogue(t.spark, f"{root}/raw/catalogue"))
     write_table(fact, SONGPLAYS, root)
