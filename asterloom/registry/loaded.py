@@ -11,7 +11,7 @@ from ..scratch import materialise, scratch_path
 from ..sinks.files import write_table
 from ..sources.files import read_csv, read_table
 from .base import query
-from .stars import _arrivals, _catalogue, _log, airport_dim
+from .stars import _arrivals, _catalogue, _log, airport_dim, write_raw
 
 
 def _stored(t, spec, rows):
@@ -23,13 +23,13 @@ def _stored(t, spec, rows):
 def _staged_log(t):
     """The log through raw JSON files."""
     root = scratch_path(t.spark, "raw-log")
-    _log(t).write.json(root)
+    write_raw(_log(t), root)
     return materialise(music.stage_log(t.spark, root, page=music.PLAY_PAGE), "staged-log")
 
 
 def _staged_catalogue(t):
     root = scratch_path(t.spark, "raw-catalogue")
-    _catalogue(t).write.json(root)
+    write_raw(_catalogue(t), root)
     return materialise(music.stage_catalogue(t.spark, root), "staged-catalogue")
 
 
@@ -102,8 +102,8 @@ def artists_distinct(t):
 def star_reload(t):
     """The whole star loaded twice from raw files, with its checks: one play per key, and the second load adds nothing."""
     root = scratch_path(t.spark, "reload-star")
-    _log(t).write.json(f"{root}/raw/log")
-    _catalogue(t).write.json(f"{root}/raw/catalogue")
+    write_raw(_log(t), f"{root}/raw/log")
+    write_raw(_catalogue(t), f"{root}/raw/catalogue")
     for _ in range(2):
         star = music.load_star(t.spark, f"{root}/raw/log", f"{root}/raw/catalogue", f"{root}/star", append_fact=True)
     return star["songplays"].select("user_id", "start_time", "session_id")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import json
 import os
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from asterloom.operators.counting import Counted, null_figures
 from asterloom.operators.quality import QualityError
+from asterloom.registry import loaded, stars
 from asterloom.scans import scanned
 from asterloom.schemas import SESSION_ITEMS, TableSpec, schema_of
 from asterloom.sinks.checked import load_json_checked
@@ -159,3 +162,26 @@ def test_bloom_filters_answer_for_columns_without_order(spark, folder):
     read = {n: scanned(spark.read.parquet(f"{folder}/{n}").filter("id = 100001"))["rows"] for n in ("with", "without")}
     # No row has the odd number, but every row group's range holds it.
     assert read["with"] == 0 < read["without"]
+
+
+@pytest.mark.parametrize("load", ["log", "reload"])
+def test_raw_files_are_small_and_give_every_row(spark, folder, monkeypatch, load):
+    """The raw log takes a fraction of its text on disk, no file more lines than a task should read, and no row is lost."""
+    n = 6000
+    part = spark.range(40).select(
+        F.col("id").alias("p_partkey"), F.concat(F.lit("part "), "id").alias("p_name"), F.concat(F.lit("Brand#"), F.col("id") % 5).alias("p_brand"),
+        F.lit("TYPE").alias("p_type"), F.lit(1).alias("p_size"), F.lit(9.5).alias("p_retailprice"))
+    lineitem = spark.range(n).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 40).alias("l_partkey"), (F.col("id") % 7).alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), F.lit(1.0).alias("l_quantity"), F.lit(2.0).alias("l_extendedprice"),
+        F.lit("R").alias("l_returnflag"), F.lit("F").alias("l_linestatus"),
+        F.expr("timestamp_ntz '2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("l_shipdate"))
+    t = SimpleNamespace(spark=spark, part=part, lineitem=lineitem)
+    monkeypatch.setattr(loaded, "scratch_path", lambda *_: f"{folder}/raw-files")
+    monkeypatch.setattr(stars, "RAW_LINES", 100, raising=False)
+    plain = sum(len(r.value) + 1 for r in stars._log(t).select(F.to_json(F.struct("*")).alias("value")).collect())
+    assert (loaded._staged_log(t) if load == "log" else loaded.star_reload(t)).count() == n
+    raw = Path(folder.removeprefix("file:")) / "raw-files" / ("" if load == "log" else "raw/log")
+    files = [p for p in raw.iterdir() if p.name.startswith("part-")]
+    assert len(files) >= n // 100
+    assert sum(p.stat().st_size for p in files) < plain / 3
