@@ -9,6 +9,10 @@ shared prefix is therefore encoded once, and a word's tokens are read off by
 walking back from its end. Which suffixes of a prefix are tokens at all is known
 from a second trie, that of the tokens, with links from each node to its longest
 proper suffix: every node of the words' trie keeps its place there too.
+
+Texts are cut into words as arrays (see `word_ids`), so that Python meets each
+distinct word of a slice once, not each occurrence; only texts with unusual
+characters are cut one by one.
 """
 
 from __future__ import annotations
@@ -21,29 +25,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .textops import each_slice, list_array
+from .word_ids import WORD_PATTERN, WordIds, byte_letters
 
 SLICE = 1 << 20
 CACHED_CHUNKS = 200_000  # a worker forgets its words beyond this; results don't depend on it
 SPLITS_ALIKE = regex.compile("[\x1c-\x1f]")  # the only characters str.split() takes for blanks and \s doesn't
 
 
-def byte_letters() -> list[str]:
-    """The printable character that stands for each byte in a byte-level vocabulary.
-
-    Printable Latin-1 bytes stand for themselves, the others, in order, for the
-    characters from 256 on.
-    """
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
-
-
 class Vocabulary:
     """A word-level BPE vocabulary: NFC, one blank, lower case, split, bytes, merges."""
 
@@ -228,32 +223,65 @@ class Vocabulary:
         return out
 
 
+class TrieIds(WordIds):
+    """Token ids of whole slices, their words encoded by a vocabulary's trie."""
+
+    def _read(self, content: str) -> None:
+        self.vocabulary = vocabulary(content)
+
+    def _tokens(self, words: list[str]) -> list[list[int]]:
+        if len(self.vocabulary.beside) > 10 * CACHED_CHUNKS:
+            self.vocabulary.beside.clear()
+        found = self.vocabulary.encode_words(words)
+        return [found[w] for w in words]
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(ids, np.uint32) for ids, _ in self.vocabulary.encode_texts(texts)]
+
+
+class TextIds:
+    """The same for a vocabulary whose words are cut by another pattern: text by text."""
+
+    def __init__(self, content: str):
+        self.vocabulary = vocabulary(content)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        done = self.vocabulary.encode_texts([raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])])
+        return np.frombuffer(b"".join([x[0] for x in done]), np.uint32), np.array([len(x[0]) // 4 for x in done])
+
+
 @lru_cache(maxsize=2)
 def vocabulary(content: str) -> Vocabulary:
     return Vocabulary(content)
 
 
+def token_names(words: Vocabulary) -> pa.Array:
+    """The name of each id; ids that no token has are null."""
+    return pa.array([words.names.get(i) for i in range(max(words.names, default=-1) + 1)], pa.string())
+
+
 @lru_cache(maxsize=2)
-def lasting_vocabulary(content: str) -> Vocabulary:
-    """The vocabulary of a worker: the collector needn't go through its tables again and again."""
+def lasting_ids(content: str) -> tuple[TrieIds | TextIds, pa.Array]:
+    """What a worker encodes with: the collector needn't go through its tables again and again."""
     words = vocabulary(content)
+    alike = words.words.pattern == WORD_PATTERN and all(name.startswith("<|") for name in words.special)
+    found = (TrieIds if alike else TextIds)(content), token_names(words)
     gc.collect()
     gc.freeze()
-    return words
+    return found
 
 
 def _encode_batches(content: str):
     def run(batches):
-        words = lasting_vocabulary(content)
+        words, names = lasting_ids(content)
         for batch, first, last, data, offsets in each_slice(batches, SLICE):
-            raw = data.tobytes()
-            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])]
-            done = words.encode_texts(texts)
-            ids = np.frombuffer(b"".join([x[0] for x in done]), np.int32)
+            ids, counts = words.encode(data, offsets)
+            tokens = list_array(ids.view(np.int32), counts, pa.int32())
+            spelt = pa.ListArray.from_arrays(tokens.offsets, names.take(tokens.values))
             columns = [c.slice(first, last - first) for n, c in zip(batch.schema.names, batch.columns) if n != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*columns, list_array(ids, np.array([len(x[0]) // 4 for x in done]), pa.int32()),
-                 pa.array([x[1] for x in done], pa.string())],
+                [*columns, tokens, pc.binary_join(spelt, " ")],
                 [*(n for n in batch.schema.names if n != "text"), "token_ids", "decoded"])
     return run
 

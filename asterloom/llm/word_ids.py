@@ -18,8 +18,6 @@ import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
-from .bpe import byte_letters
-
 CACHED_WORDS = 400_000  # a worker forgets its words beyond twice this; ids don't depend on it
 OTHER, LETTER, NUMBER, SPACE, ODD = range(5)
 KNOWN_POINTS = 0x30000
@@ -28,6 +26,17 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 RULES = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"])
 
 
+def byte_letters() -> list[str]:
+    """The printable character that stands for each byte in a byte-level vocabulary.
+
+    Printable Latin-1 bytes stand for themselves, the others, in order, for the
+    characters from 256 on.
+    """
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 @lru_cache(maxsize=1)
 def point_tables() -> tuple[np.ndarray, np.ndarray]:
     """Class and lower case of every code point; unusual ones are ODD."""
@@ -58,14 +67,25 @@ class WordIds:
         found = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])], [x["type"] for x in steps]
         if spec["model"]["type"] != "BPE" or found != RULES or steps[0]["pattern"].get("Regex") != WORD_PATTERN:
             raise ValueError("this vocabulary file needs other text rules than the ones known here")
-        self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
         self.special = [x["content"] for x in spec["added_tokens"]]
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self._read(content)
+
+    def _read(self, content: str) -> None:
+        self.tokenizer = Tokenizer.from_str(content)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+
+    def _tokens(self, words: list[str]) -> list[list[int]]:
+        """The ids of each of some distinct words, given in byte letters."""
+        return [[t.id for t in self.model.tokenize(word)] for word in words]
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each of some texts that aren't cut into words here."""
+        return [np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32) for text in texts]
 
     def _learn(self, words: list[bytes]) -> list[bytes]:
         """The ids of distinct words, as little-endian 32-bit numbers."""
@@ -73,14 +93,17 @@ class WordIds:
             self.words, self.older = {}, self.words
         known, older = self.words, self.older
         out = list(map(known.get, words))
+        missing = []
         for k, ids in enumerate(out):
             if ids is None:
-                word = words[k]
-                ids = older.get(word)
+                ids = older.get(words[k])
                 if ids is None:
-                    tokens = self.model.tokenize(word.decode("latin-1").translate(self.letters))
-                    ids = array("I", [t.id for t in tokens]).tobytes()
-                out[k] = known[word] = ids
+                    missing.append(k)
+                else:
+                    out[k] = known[words[k]] = ids
+        spelt = [words[k].decode("latin-1").translate(self.letters) for k in missing]
+        for k, tokens in zip(missing, self._tokens(spelt), strict=True):
+            out[k] = known[words[k]] = array("I", tokens).tobytes()
         return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,10 +177,11 @@ class WordIds:
         if not odd.any():
             return flat, counts
         parts, at = [], np.concatenate([[0], np.cumsum(counts)])
+        whole = iter(self._whole([
+            data[offsets[k] : offsets[k + 1]].tobytes().decode("utf-8", "replace") for k in np.flatnonzero(odd)]))
         for k in range(len(counts)):
             if odd[k]:
-                text = data[offsets[k] : offsets[k + 1]].tobytes().decode("utf-8", "replace")
-                parts.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
+                parts.append(next(whole))
                 counts[k] = len(parts[-1])
             else:
                 parts.append(flat[at[k] : at[k + 1]])
