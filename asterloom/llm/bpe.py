@@ -31,7 +31,7 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import each_slice, list_array
+from .textops import each_slice, list_array, tidy
 from .word_ids import WORD_PATTERN, WordIds, byte_letters
 
 SLICE = 1 << 20
@@ -304,7 +304,7 @@ def encode_decode(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", t
     vocabulary(content)  # fails here, not in a task, for an unsuitable file
     # An id column is cast to long; its name never clashes with the text's.
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_encode_batches(content), "doc_id long, token_ids array<int>, decoded string")
+    return texts.mapInArrow(tidy(_encode_batches(content)), "doc_id long, token_ids array<int>, decoded string")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

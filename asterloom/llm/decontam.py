@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import U, Words, each_slice, id_text, mix
+from .textops import U, Words, each_slice, id_text, mix, tidy
 
 LANES, LANE_ERRORS = 16, 4
 RADIUS = LANES * (LANE_ERRORS + 1) - 1
@@ -169,5 +169,5 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     for k in range(blocks):
         rows = items.filter(block == k).distinct().orderBy("item_id", "text").collect()
         job = _match_batches([r[0] for r in rows], [r[1] for r in rows], width, least)
-        found = found.union(docs.mapInArrow(job, RESULT)) if k else docs.mapInArrow(job, RESULT)
+        found = found.union(docs.mapInArrow(tidy(job), RESULT)) if k else docs.mapInArrow(tidy(job), RESULT)
     return found

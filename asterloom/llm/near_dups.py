@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialise
 from .components import components
-from .textops import U, Words, distinct_per_text, each_slice, id_text, list_array, mix, with_end
+from .textops import U, Words, distinct_per_text, each_slice, id_text, list_array, mix, tidy, with_end
 
 SLOTS = 389  # prime; the first ones make the bands, all of them the sketch
 ROWS = 4  # slots per band
@@ -163,7 +163,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     """The pairs whose full shingle sets are similar enough."""
     wanted = pairs.select("node").union(pairs.select("near")).distinct().withColumnRenamed("node", "doc_id")
     sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _set_batches(width), "doc_id long, shingles array<long>")
+        tidy(_set_batches(width)), "doc_id long, shingles array<long>")
     sets = materialise(sets, "sets")
     left = sets.select(F.col("doc_id").alias("node"), F.col("shingles").alias("a"))
     right = sets.select(F.col("doc_id").alias("near"), F.col("shingles").alias("b"))
@@ -197,7 +197,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     similarity, least = percent / 100, _least_agreement(percent / 100)
     docs = id_text(df, id_col, text_col)
-    features = materialise(docs.mapInArrow(_feature_batches(width, bands), FEATURES), "features")
+    features = materialise(docs.mapInArrow(tidy(_feature_batches(width, bands)), FEATURES), "features")
     full = features.filter("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("key_a", "key_b", "n_shingles").agg(
         F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
@@ -216,7 +216,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .select("node", "near").distinct())
     star = star.join(sketches.drop("bands"), "node").join(
         sketches.select(F.col("node").alias("near"), F.col("sketch").alias("leader_sketch")), "near")
-    star = star.mapInArrow(_plausible_batches(least), "node long, near long")
+    star = star.mapInArrow(tidy(_plausible_batches(least)), "node long, near long")
     links = _verified(materialise(star, "pairs"), docs, width, percent)
     several = full.groupBy("doc_id").agg(
         F.min(F.struct("key_a", "key_b")).alias("low"), F.max(F.struct("key_a", "key_b")).alias("high"))
@@ -245,7 +245,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sides = [x.selectExpr("bucket", "int(i) i", "int(j) j", "node", "n", "component", "major", "stray")
              for x in sides]
     blocks = sides[0].union(sides[1]).join(sketches, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    cross = blocks.mapInArrow(_cross_batches(least, similarity), "node long, near long").distinct()
+    cross = blocks.mapInArrow(tidy(_cross_batches(least, similarity)), "node long, near long").distinct()
     more = _verified(materialise(cross, "pairs"), docs, width, percent)
     every = links.union(more).union(same_id)
     found = components(every)
