@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asterloom.llm.fm_index import BidirectionalIndex
+from asterloom.llm import phrases as phrases_module
 from asterloom.llm.phrases import count_phrases, mine_phrases
 
 
@@ -105,6 +106,32 @@ def test_exact_beyond_64_bits(spark):
     assert scored.select(F.expr("(_a * _n * 1000BD) div (_l * _r)")).first()[0] == 10**17 // 90000000000001
 
 
+def test_shards_send_a_list_for_each_part(spark, texts, monkeypatch):
+    """Pairs and longer phrases don't travel as a row each, and none that holds a rare phrase travels at all."""
+    sent, kept = {}, phrases_module.materialise
+
+    def counting(df, label="step"):
+        table = kept(df, label)
+        sent.setdefault(label, []).append(table)
+        return table
+
+    monkeypatch.setattr(phrases_module, "materialise", counting)
+    monkeypatch.setattr(phrases_module, "release", lambda *tables: None)
+    df = spark.createDataFrame(texts, "lang string, text string").repartition(4)
+    count_phrases(df, least=8, shard_bytes=2000)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = sent["coded"][0].count()
+    assert shards > 4 and len(sent["lists"]) == 4
+    for found in sent["lists"]:
+        assert 0 < found.filter("shard is not null").count() <= shards * parts
+    # A phrase of a b a b with a rare a b a is not made.
+    sequence, words = np.array([0, 1, 2, 1, 2, 0], np.int32), np.array([4, 9])
+    key, part, n = phrases_module._phrases_of(sequence, words, 2, {}, 1)
+    assert sorted(zip(key.tolist(), n.tolist())) == [((4 << 32) | 9, 2), ((9 << 32) | 4, 1)]
+    answer = {2: [{"part": 0, "numbers": phrases_module.squeeze_numbers(np.array([3, 0]))}]}
+    assert len(phrases_module._phrases_of(sequence, words, 3, answer, 1)[0]) == 0
+
+
 def test_empty_and_rare(spark):
     empty = spark.createDataFrame([], "lang string, text string")
     assert mine_phrases(empty).count() == 0
