@@ -599,3 +599,19 @@ def test_pipeline_keeps_clean_rows(spark):
             assert len(texts) == len(set(texts))
     assert set(docs.columns) == {"doc_id", "n_tokens", "token_ids", "decoded"}
     assert {r.doc_id for r in docs.collect()} <= set(before)
+
+
+def test_texts_stay_where_they_are_for_few_dropped_ids(spark):
+    import corpus_pipeline
+
+    scored = corpus_pipeline.materialise(spark.range(40000).selectExpr("id doc_id", "id % 1000 <> 0 kept", "rand(3) loss"), "scored")
+    docs = spark.range(40000).selectExpr("nullif(id, 7) doc_id", "string(id) text").union(spark.sql("select 1000L, 'again'"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        left = corpus_pipeline._without(docs, scored.filter("not kept"))
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert left.count() == 40000 - 40 and left.filter("doc_id is null").count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
