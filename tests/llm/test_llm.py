@@ -194,6 +194,34 @@ def test_passages_behind_a_stock_line_are_found(spark, monkeypatch, block):
     assert not any(marked[3 * case + k] for case in range(40) for k in (0, 1))
 
 
+def test_covering_leaves_out_members_that_add_nothing():
+    """Members 0 to 4 share the first 50 tokens of window 6, member 5 the last 50: one of the former is enough."""
+    least, width = 46, 91
+    own = np.arange(1, width + 1, dtype=np.uint32)
+    tokens = np.zeros((7, width), np.uint32)
+    tokens[6] = own
+    tokens[:5, :50] = own[:50]
+    tokens[:5, 50:] = np.arange(1000, 1000 + 5 * 41, dtype=np.uint32).reshape(5, 41)
+    tokens[5, :50], tokens[5, 41:] = 5000 + own[:50], own[41:]
+    b, a, shown = passages.covering(np.full(6, 6), np.arange(6), tokens, tokens > 0, least, 0.8)
+    assert b.tolist() == [6, 6] and a.tolist() == [0, 5]
+    assert [tuple(map(int, x[1:5])) for x in shown] == [(0, 0, 50, 0)]
+    none = passages.covering(np.zeros(0, np.int64), np.zeros(0, np.int64), tokens, tokens > 0, least, 0.8)
+    assert len(none[0]) == len(none[1]) == 0
+
+
+def test_copies_of_a_text_have_one_source(spark):
+    """Each copy is one passage of the first document with its text; others meet that document alone."""
+    rng = np.random.default_rng(11)
+    text, tail, short = (" ".join(numbered(rng, n)) for n in (120, 30, 20))
+    rows = [(k, text) for k in range(10, 30)] + [(15, text), (30, f"{tail} {text}"), (31, short), (32, short), (None, text), (33, None), (34, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    named = passages._prepared(df, "doc_id", "text").filter("doc_id is not null and text is not null")
+    assert {(r.doc_id, r.source_id) for r in passages._copies(named).collect()} == {(k, 10) for k in range(11, 30)} | {(32, 31)}
+    got = {tuple(r) for r in passages.near_passages(df).collect()}
+    assert got == {(k, 0, 120, 10, 0, 1.0) for k in range(11, 30)} | {(30, 30, 120, 10, 0, 1.0)}
+
+
 def test_near_passages_are_those_of_all_pairs(spark):
     """50 words with one changed, a similarity of 41/51: the least that counts."""
     rng = np.random.default_rng(4)
