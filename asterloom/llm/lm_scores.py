@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialise, release
-from .textops import U, Words, each_slice, mix
+from .textops import U, Words, each_slice, mix, tidy
 
 STRENGTH = 50.0  # unigram counts worth this many tokens are added to each context
 CACHED = 1 << 19  # n-grams at most that go to every task
-HELD = 1 << 20  # distinct n-grams that a task holds before it sends their sums on
+HELD = 1 << 18  # distinct n-grams that a task holds before it sends their sums on
+AT_ONCE = 1 << 17  # rows in a batch of sums
 START = U(0x5851F42D4C957F2D)  # stands before the first word of a text
 SUMS = ("target", "background", "target_after", "background_after", "texts")
 MISSING = ("a_t", "a_b", "c_t", "c_b")
@@ -73,10 +74,12 @@ def _summed(held: list[tuple]) -> tuple:
 
 def _count_batches(batches):
     """Words and bigrams with their counts, summed within the task."""
-    def sent(rows: tuple) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows[0].view(np.int64)), pa.array(rows[1].view(np.int64)), *(pa.array(x) for x in rows[2:])],
-            ["key", "word", "is_pair", *SUMS])
+    def sent(rows: tuple):
+        for x in range(0, len(rows[0]), AT_ONCE):
+            part = [column[x : x + AT_ONCE] for column in rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[0].view(np.int64)), pa.array(part[1].view(np.int64)), *(pa.array(x) for x in part[2:])],
+                ["key", "word", "is_pair", *SUMS])
 
     held: list[tuple] = []
     for batch, first, last, data, offsets in each_slice(batches):
@@ -86,12 +89,12 @@ def _count_batches(batches):
         held.append(_summed([
             (word_keys(word), word, np.zeros(len(word), bool), own * target[text], own, after * target[text], after, np.ones(len(word), np.int64)),
             (pair, p_word, np.ones(len(pair), bool), count * target[p_text], count, zero, zero, np.ones(len(pair), np.int64))]))
-        if len(held) == 8:
+        if sum(len(h[0]) for h in held) > HELD:
             held = [_summed(held)]
-            if len(held[0][0]) > HELD:
-                yield sent(held.pop())
+            if len(held[0][0]) > HELD // 2:  # a new slice has room for as many
+                yield from sent(held.pop())
     if held:
-        yield sent(_summed(held))
+        yield from sent(_summed(held))
 
 
 class Frequent:
@@ -202,7 +205,7 @@ def score_difference(df: DataFrame, target_ids: DataFrame, id_col: str = "doc_id
         "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"),
         F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text").alias("row"))
     kinds = "key long, word long, is_pair boolean, " + ", ".join(f"{n} long" for n in SUMS)
-    counts = marked.select("text", "target").mapInArrow(_count_batches, kinds)
+    counts = marked.select("text", "target").mapInArrow(tidy(_count_batches), kinds)
     counts = counts.groupBy("key", "word", "is_pair").agg(*(F.sum(n).alias(n) for n in SUMS))
     counts = materialise(counts.filter("not is_pair or texts > 1"), "counts")
     words = counts.filter("not is_pair")
@@ -223,10 +226,10 @@ def score_difference(df: DataFrame, target_ids: DataFrame, id_col: str = "doc_id
         least = at
     frequent = table.filter(step >= least) if least is not None else table.limit(0)
     shared = spark.sparkContext.broadcast(Frequent(frequent.select("key", *MISSING).toArrow(), totals))
-    rest = marked.select("row", "text", "target").mapInArrow(_ngram_batches(shared), NGRAM)
+    rest = marked.select("row", "text", "target").mapInArrow(tidy(_ngram_batches(shared)), NGRAM)
     joined = rest.join(table.select("key", *MISSING), "key", "left").filter("kind = 0 or a_b is not null")
     joined = joined.select("row", "kind", "n", "own", "tokens", "inside", "loss", *(F.coalesce(c, F.lit(0)).alias(c) for c in MISSING))
-    found = joined.mapInArrow(_loss_batches(totals), "row long, loss double, copies long, tokens long").groupBy("row").agg(
+    found = joined.mapInArrow(tidy(_loss_batches(totals)), "row long, loss double, copies long, tokens long").groupBy("row").agg(
         F.sum("loss").alias("loss"), F.sum("copies").alias("copies"), F.sum("tokens").alias("tokens"))
     # The text stays behind: only ids and numbers are joined with the sums.
     return marked.select("doc_id", "row").join(found, "row").select(

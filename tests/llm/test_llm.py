@@ -194,6 +194,29 @@ def test_passages_behind_a_stock_line_are_found(spark, monkeypatch, block):
     assert not any(marked[3 * case + k] for case in range(40) for k in (0, 1))
 
 
+def test_ngram_sums_are_sent_in_bounded_parts(monkeypatch):
+    """What a task holds and sends stays small, and the sums are those of all texts."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(12)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 300, 40)) for _ in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + 5]), pa.array([k % 2 == 0] * 5)], ["text", "target"]) for k in range(0, 60, 5)]
+
+    def sums(sent):
+        total = collections.Counter()
+        for batch in sent:
+            for r in batch.to_pylist():
+                for n in lm_scores.SUMS:
+                    total[r["key"], r["word"], r["is_pair"], n] += r[n]
+        return total
+
+    whole = sums(lm_scores._count_batches(batches))
+    monkeypatch.setattr(lm_scores, "HELD", 500)
+    monkeypatch.setattr(lm_scores, "AT_ONCE", 100, raising=False)
+    sent = list(lm_scores._count_batches(batches))
+    assert max(x.num_rows for x in sent) <= 100 and sums(sent) == whole
+
+
 def test_covering_leaves_out_members_that_add_nothing():
     """Members 0 to 4 share the first 50 tokens of window 6, member 5 the last 50: one of the former is enough."""
     least, width = 46, 91
